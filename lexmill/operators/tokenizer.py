@@ -1,0 +1,213 @@
+"""Encode, decode and describe text columns with a trained vocabulary."""
+
+from __future__ import annotations
+
+import heapq
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexmill.config import SPECIAL_TOKENS, TOKENIZER_TYPE
+from lexmill.functions.normalize import NORMALIZER_NAME, normalize
+from lexmill.functions.text import SPACE_MARKER, visible
+from lexmill.operators.vocab_training import BYTE_PIECES, merge_table, special_ids, vocab_rows, vocab_table
+
+# Fixed value: how a decoder shows the unknown token.
+UNKNOWN_SURFACE = " ⁇ "
+
+#: Distinct words one Python worker remembers before it starts over.
+WORD_CACHE_SIZE = 200_000
+
+
+def segment_word(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
+    """Merge a word's characters by ascending merge rank, leftmost first, in n log n steps."""
+    symbols: list[str | None] = list(word)
+    size = len(symbols)
+    following, previous = list(range(1, size + 1)), list(range(-1, size - 1))
+    waiting: list[tuple[int, int, str, str]] = []
+
+    def offer(at: int) -> None:
+        if at >= 0 and following[at] < size:
+            pair = (symbols[at], symbols[following[at]])
+            if pair in ranks:
+                heapq.heappush(waiting, (ranks[pair], at, *pair))
+
+    for at in range(size):
+        offer(at)
+    while waiting:
+        _, at, left, right = heapq.heappop(waiting)
+        after = following[at]
+        if symbols[at] != left or after >= size or symbols[after] != right:
+            continue
+        symbols[at], symbols[after] = left + right, None
+        following[at] = following[after]
+        if following[at] < size:
+            previous[following[at]] = at
+        offer(previous[at])
+        offer(at)
+    return [symbol for symbol in symbols if symbol is not None]
+
+
+class Tokenizer:
+    """A vocabulary and its merges. Both are bounded by the vocabulary size, so they travel as constants."""
+
+    tokenizer_type = TOKENIZER_TYPE
+    normalizer_name = NORMALIZER_NAME
+
+    def __init__(self, spark: SparkSession, vocab: DataFrame, merges: DataFrame):
+        self.spark = spark
+        self.vocab = vocab
+        self.merges = merges
+        rows = vocab.orderBy("id").collect()
+        if [row["id"] for row in rows] != list(range(len(rows))):
+            raise ValueError("vocabulary ids must run from 0 without gaps")
+        self.pieces = [row["piece"] for row in rows]
+        self.special_tokens = {row["label"]: row["id"] for row in rows if row["special"]}
+        self._visible = [
+            row["label"] if row["special"] else row["shown"]
+            for row in vocab.withColumn("shown", visible(F.col("piece"))).orderBy("id").collect()
+        ]
+        self._ranks: dict[tuple[str, str], int] = {}
+        for row in merges.orderBy("rank").collect():
+            self._ranks.setdefault((row["left"], row["right"]), row["rank"])
+
+    @classmethod
+    def from_training(cls, spark: SparkSession, training) -> Tokenizer:
+        return cls(spark, vocab_table(spark, training), merge_table(spark, training))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Tokenizer:
+        return cls(spark, spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/merges"))
+
+    def save(self, path: str) -> None:
+        self.vocab.coalesce(1).write.mode("overwrite").parquet(f"{path}/vocab")
+        self.merges.coalesce(1).write.mode("overwrite").parquet(f"{path}/merges")
+
+    @property
+    def vocab_size(self) -> int:
+        return len(self.pieces)
+
+    def tokens(self) -> DataFrame:
+        return self.vocab.orderBy("id")
+
+    def special_map(self) -> DataFrame:
+        return special_ids(self.vocab)
+
+    def vocab_rows(self) -> DataFrame:
+        return vocab_rows(self.vocab)
+
+    def encode(self, text: Column) -> Column:
+        """Normalise a text column and encode it to ``array<int>``."""
+        return self._encoder()(normalize(text))
+
+    def encode_words(self, words: Column) -> Column:
+        """Encode marked training words, for statistics over distinct words."""
+        return self._encoder(marked=True)(words)
+
+    def _encoder(self, marked: bool = False):
+        ids = {piece: token_id for token_id, piece in enumerate(self.pieces) if piece}
+        for value, piece in enumerate(BYTE_PIECES):
+            # a byte piece is reached through its byte, never through its spelling
+            ids.pop(piece, None)
+        first_byte = len(SPECIAL_TOKENS)
+        shared = self.spark.sparkContext.broadcast((ids, self._ranks))
+
+        @F.pandas_udf("array<int>")
+        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            known, ranks = shared.value
+            cache: dict[str, list[int]] = {}
+            # a word with its marker, or a newline, or a marker character of the data itself
+            cutter = re.compile(f"[ ]?[^ \n{SPACE_MARKER}]+|[ \n{SPACE_MARKER}]")
+
+            def encode_word(word: str) -> list[int]:
+                found = cache.get(word)
+                if found is None:
+                    if word == SPACE_MARKER:
+                        symbols = [word]
+                    else:
+                        symbols = segment_word(word.replace(" ", SPACE_MARKER), ranks)
+                    found = []
+                    for symbol in symbols:
+                        token = None if word == SPACE_MARKER else known.get(symbol)
+                        if token is None:
+                            found.extend(first_byte + byte for byte in symbol.encode())
+                        else:
+                            found.append(token)
+                    if len(cache) >= WORD_CACHE_SIZE:
+                        cache.clear()
+                    cache[word] = found
+                return found
+
+            for texts in batches:
+                encoded = []
+                for text in texts:
+                    if text is None or text == "":
+                        encoded.append([])
+                        continue
+                    source = text.replace(SPACE_MARKER, " ", 1) if marked else " " + text
+                    encoded.append([token for word in cutter.findall(source) for token in encode_word(word)])
+                yield pd.Series(encoded)
+
+        return encode
+
+    def _constants(self, values: list[str]) -> Column:
+        """A constant array of strings; the separator occurs in none of them."""
+        return F.split(F.lit("\x1f".join(values)), "\x1f")
+
+    def decode(self, ids: Column) -> Column:
+        """Token ids back to text: markers become blanks, byte pieces their bytes."""
+        surfaces = []
+        for token_id, piece in enumerate(self.pieces):
+            if token_id == self.special_tokens.get("<unk>"):
+                octets = UNKNOWN_SURFACE.encode()
+            elif piece in BYTE_PIECES and token_id < len(SPECIAL_TOKENS) + len(BYTE_PIECES):
+                octets = bytes([token_id - len(SPECIAL_TOKENS)])
+            else:
+                octets = piece.replace(SPACE_MARKER, " ").encode()
+            surfaces.append(octets.hex())
+        table = self._constants(surfaces)
+        octets = F.unhex(F.array_join(F.transform(ids, lambda token: F.element_at(table, token + F.lit(1))), ""))
+        return F.regexp_replace(F.make_valid_utf8(octets.cast("string")), "^ ", "")
+
+    def describe(self, ids: Column) -> Column:
+        """Label of each special token, visible form of each other piece; an unknown id is an error."""
+        table = self._constants(self._visible)
+        size = F.lit(self.vocab_size)
+
+        def one(token: Column) -> Column:
+            problem = F.raise_error(F.concat(F.lit("unknown token id "), token.cast("string"))).cast("string")
+            known = (token >= F.lit(0)) & (token < size)
+            return F.when(known, F.element_at(table, F.when(known, token + F.lit(1)).otherwise(F.lit(1)))).otherwise(problem)
+
+        return F.transform(ids, one)
+
+    def byte_fallback_count(self, ids: Column) -> Column:
+        """Number of byte pieces among the ids."""
+        first = len(SPECIAL_TOKENS)
+        is_byte = lambda token: (token >= F.lit(first)) & (token < F.lit(first + len(BYTE_PIECES)))
+        return F.size(F.filter(ids, is_byte))
+
+    def unknown_count(self, ids: Column) -> Column:
+        unknown = self.special_tokens["<unk>"]
+        return F.size(F.filter(ids, lambda token: token == F.lit(unknown)))
+
+    def inspect(self, df: DataFrame, text_column: str) -> DataFrame:
+        """Add normalised text, token ids, pieces, decoded text and the vocabulary's facts."""
+        encoded = df.withColumn("normalized_text", normalize(F.col(text_column))).withColumn(
+            "token_ids", self.encode(F.col(text_column))
+        )
+        return (
+            encoded.withColumn("decoded_text", self.decode(F.col("token_ids")))
+            .withColumn("token_pieces", self.describe(F.col("token_ids")))
+            .withColumn("vocab_size", F.lit(self.vocab_size))
+            .withColumn("special_tokens", F.create_map(*[F.lit(x) for kv in sorted(self.special_tokens.items()) for x in kv]))
+        )
+
+    def piece_counts(self, encoded: DataFrame, ids: str = "token_ids") -> DataFrame:
+        """``(id, label, piece, count)`` over a table of id arrays, looked up in the vocabulary."""
+        counts = encoded.select(F.explode(ids).alias("id")).groupBy("id").agg(F.count("*").alias("count"))
+        # both sides have at most one row for each vocabulary entry
+        return counts.join(F.broadcast(self.vocab), "id").select("id", "label", "piece", "count")
