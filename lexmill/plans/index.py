@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import parse_corpus_kind
+from lexmill.functions.text import corpus_kind, parse_corpus_kind
 from lexmill.operators.stats import corpus_index, with_notes
 from lexmill.session import cut_lineage
 from lexmill.sources.files import list_corpus_text
@@ -143,7 +143,5 @@ def _scan(spark: SparkSession, corpus_root: str, files: DataFrame, paths: list[s
 
 
 def _fill_empty(index: DataFrame) -> DataFrame:
-    from lexmill.functions.text import corpus_kind
-
     filled = index.fillna({"record_count": 0, "text_count": 0, "character_count": 0, "checksum": "md5x60:0"})
     return filled.withColumn("kind", corpus_kind(F.col("relative_path")))
