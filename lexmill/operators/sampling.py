@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.hashing import fnv_unit_interval, unit_bits, unit_interval
 from lexmill.functions.text import PARQUET_CORPUS, sampling_key
+from lexmill.session import cut_lineage
 
 #: Bits of the 52-bit hash resolved by one histogram of the exact mode.
 HISTOGRAM_BITS = 13
@@ -68,7 +69,9 @@ def hash_threshold(bits: DataFrame, budget: int) -> tuple[int, int]:
 def exact_sample(lines: DataFrame, budget: int) -> DataFrame:
     """As :func:`bounded_sample`, but exactly ``budget`` shard lines: those with the smallest hashes."""
     hashed = lines.withColumn("_bits", F.when(F.col("kind") == PARQUET_CORPUS, unit_bits(line_key())))
-    threshold, ties = hash_threshold(hashed.filter("_bits is not null").select(F.col("_bits").alias("bits")), budget)
+    # eight bytes a line, read by all rounds instead of hashing the texts again
+    bits = cut_lineage(hashed.filter("_bits is not null").select(F.col("_bits").alias("bits")))
+    threshold, ties = hash_threshold(bits, budget)
     kept = hashed.filter(F.col("_bits").isNull() | (F.col("_bits") < threshold)).drop("_bits")
     if ties == 0:
         return kept
