@@ -106,3 +106,9 @@ def relative_path(path: Column, root: str) -> Column:
     tail = "/" + tail.lstrip("/")
     plain = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
     return F.substr(plain, F.instr(plain, F.lit(tail + "/")) + F.lit(len(tail) + 1))
+
+
+def scanned_path(root: str) -> Column:
+    """Path below ``root`` of the file a row was read from. File metadata is percent-encoded, listings are not."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return relative_path(F.url_decode(encoded), root)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.hashing import row_hash
-from lexmill.functions.text import relative_path
+from lexmill.functions.text import scanned_path
 
 EXPORT_SCHEMA = "split string, normalized_input string, output_text string, example_id string, _corrupt string"
 
@@ -25,7 +25,7 @@ def read_exports(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
     names = ("split", "normalized_input", "output_text", "example_id")
     fields = [F.coalesce(F.col(name), F.lit("")).alias(name) for name in names]
     return records.select(
-        relative_path(F.col("_metadata.file_path"), root).alias("relative_path"),
+        scanned_path(root).alias("relative_path"),
         row_hash(*[F.coalesce(F.col(name), F.lit("")) for name in (*names, "_corrupt")]).alias("record_hash"),
         *fields,
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexmill.config import CANDIDATE_TEXT_COLUMNS, FALLBACK_NAME_PARTS
-from lexmill.functions.text import relative_path
+from lexmill.functions.text import scanned_path
 
 # The two column types accepted as text.
 TEXT_TYPES = ("string", "large_string")
@@ -127,7 +127,7 @@ def scan_text(spark: SparkSession, root: str, chosen: DataFrame, skip_corrupt: b
         schema = T.StructType([T.StructField(column, T.StringType())])
         reader = spark.read.schema(schema).option("ignoreCorruptFiles", str(skip_corrupt).lower())
         scan = reader.parquet(*sorted(groups[column])).select(
-            relative_path(F.col("_metadata.file_path"), root).alias("relative_path"),
+            scanned_path(root).alias("relative_path"),
             F.col("_metadata.row_index").alias("row_index"),
             F.col(f"`{column}`").alias("text"),
         )

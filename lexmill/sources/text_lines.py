@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import relative_path
+from lexmill.functions.text import scanned_path
 
 
 def scan_lines(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
@@ -17,7 +17,7 @@ def scan_lines(spark: SparkSession, root: str, paths: list[str] | None = None) -
     reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
     reader = reader.option("pathGlobFilter", "*.txt")
     return reader.text(paths if paths is not None else root).select(
-        relative_path(F.col("_metadata.file_path"), root).alias("relative_path"),
+        scanned_path(root).alias("relative_path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
         F.regexp_replace("value", r"\r\z", "").alias("raw"),
