@@ -18,7 +18,7 @@ from lexmill.config import IngestConfig
 from lexmill.functions.normalize import normalize
 from lexmill.functions.text import shard_name, utc_text
 from lexmill.operators import sharding, stats
-from lexmill.session import cut_lineage
+from lexmill.session import cut_lineage, spread_scan
 from lexmill.sources import files as listing
 from lexmill.sources import parquet_text
 
@@ -111,7 +111,7 @@ def ingest_files(
         if bad is not None:
             raise RuntimeError(f"{bad['relative_path']}: {bad['note']}")
     scan = parquet_text.scan_text(spark, config.parquet_root, taken, skip_corrupt=not config.stop_on_file_error)
-    texts = scan.withColumn("text", normalize(F.col("text")))
+    texts = spread_scan(scan, "row_index").withColumn("text", normalize(F.col("text")))
     batches = cut_lineage(sharding.batch_sizes(texts, config.batch_rows))
     totals = batches.groupBy("relative_path").agg(
         F.sum("rows").alias("rows_processed"),

@@ -18,7 +18,7 @@ from lexmill.functions.normalize import normalize, null_to_empty
 from lexmill.operators import corpus, evaluate, mix, ordering, sampling, sharding, stats, vocab_training
 from lexmill.operators.tokenizer import Tokenizer
 from lexmill.plans import index as corpus_index
-from lexmill.session import cut_lineage
+from lexmill.session import cut_lineage, spread_scan
 from lexmill.sources import files, parquet_text
 
 #: Rows of a batch and bytes of a shard in the queries; the second makes segments of eight shards.
@@ -39,12 +39,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts_of(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table whose texts are worked on, over all cores; the first column is its key."""
+    return spread_scan(table(spark, sf_dir, name).select(*columns), columns[0])
+
+
 # Tables in their roles
 
 
 def corpus_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(relative_path, row_index, text)``, normalised as ingest leaves it."""
-    documents = table(spark, sf_dir, "documents").select(
+    documents = texts_of(spark, sf_dir, "documents", "doc_id", "source", "text").select(
         F.concat("source", F.lit(".txt")).alias("relative_path"), F.col("doc_id").alias("row_index"), "text"
     )
     supplemental = table(spark, sf_dir, "benchmark").select(
@@ -124,13 +129,14 @@ def chosen_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised texts of every Parquet file that has a text column."""
-    scan = parquet_text.scan_text(spark, sf_dir, chosen_columns(spark, sf_dir))
+    scan = spread_scan(parquet_text.scan_text(spark, sf_dir, chosen_columns(spark, sf_dir)), "row_index")
     return scan.withColumn("text", normalize(F.col("text")))
 
 
 def ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = cut_lineage(chosen_columns(spark, sf_dir))
-    scan = parquet_text.scan_text(spark, sf_dir, chosen).withColumn("text", normalize(F.col("text")))
+    scan = spread_scan(parquet_text.scan_text(spark, sf_dir, chosen), "row_index")
+    scan = scan.withColumn("text", normalize(F.col("text")))
     return stats.status_records(chosen, stats.file_stats(scan))
 
 
@@ -146,12 +152,12 @@ def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    normalized = table(spark, sf_dir, "documents").select("doc_id", normalize(F.col("text")).alias("normalized"))
+    normalized = texts_of(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", normalize(F.col("text")).alias("normalized"))
     return normalized.filter("normalized != ''")
 
 
 def normalize_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", normalize(F.col("html")).alias("normalized"))
+    return texts_of(spark, sf_dir, "pages", "page_id", "html").select("page_id", normalize(F.col("html")).alias("normalized"))
 
 
 def normalize_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,12 +178,12 @@ def unit_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hex_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = table(spark, sf_dir, "documents").select("doc_id", tx.encode_hex(F.col("text")).alias("text_hex"))
+    encoded = texts_of(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", tx.encode_hex(F.col("text")).alias("text_hex"))
     return encoded.withColumn("text", tx.decode_hex(F.col("text_hex")))
 
 
 def visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", tx.visible(F.col("text")).alias("visible"))
+    documents = texts_of(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", tx.visible(F.col("text")).alias("visible"))
     pages = table(spark, sf_dir, "pages").select(
         (-F.col("page_id") - 1).alias("doc_id"), tx.visible(F.col("html")).alias("visible")
     )
@@ -392,13 +398,13 @@ def vocab_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encode_decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer(spark, sf_dir)
-    encoded = table(spark, sf_dir, "documents").select("doc_id", model.encode(F.col("text")).alias("ids"))
+    encoded = texts_of(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", model.encode(F.col("text")).alias("ids"))
     return encoded.select("doc_id", model.decode(F.col("ids")).alias("decoded"))
 
 
 def pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer(spark, sf_dir)
-    encoded = table(spark, sf_dir, "pages").select("page_id", model.encode(F.col("html")).alias("ids"))
+    encoded = texts_of(spark, sf_dir, "pages", "page_id", "html").select("page_id", model.encode(F.col("html")).alias("ids"))
     return encoded.select("page_id", model.decode(F.col("ids")).alias("decoded"))
 
 
@@ -409,7 +415,7 @@ def token_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = F.replace(piece, F.lit(tx.SPACE_MARKER), F.lit(" "))
     octets = F.when(piece.rlike("^<0x[0-9A-F]{2}>$"), 1).otherwise(F.octet_length(plain))
     widths = model.vocab.filter("not special").select("id", octets.alias("octets"))
-    encoded = table(spark, sf_dir, "documents").select("doc_id", model.encode(F.col("text")).alias("ids"))
+    encoded = texts_of(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", model.encode(F.col("text")).alias("ids"))
     tokens = encoded.select("doc_id", F.explode("ids").alias("id"))
     # the width table has one row for each vocabulary entry
     summed = tokens.join(F.broadcast(widths), "id").groupBy("doc_id")

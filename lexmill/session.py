@@ -18,6 +18,7 @@ def local_session(app_name: str = "lexmill", cores: str = "*", shuffle_partition
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
@@ -46,6 +47,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def spread_scan(scan: DataFrame, *keys: str) -> DataFrame:
+    """Give a scan with fewer splits than cores a partition for each core; a large scan stays as it is.
+
+    Work on texts costs far more than moving the few row groups of a small input once.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and return it without its history."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -127,12 +127,12 @@ def test_index_is_reused_refreshed_and_equal_to_a_full_scan(spark, source):
     assert ensure_corpus_index(spark, root, path).reused_existing
     shard = source / "corpus" / "shard-000000.txt"
     shard.write_bytes(SHARD.encode() + b"\nA new line.\n")
-    (source / "corpus" / "empty.txt").write_bytes(b"")
+    (source / "corpus" / "empty.txt").write_bytes(b"\n")
     third = ensure_corpus_index(spark, root, path)
     assert not third.reused_existing and (third.file_count, third.rescanned_count) == (3, 2)
     rows = {row["relative_path"]: row for row in third.index.collect()}
     assert (rows["shard-000000.txt"]["record_count"], rows["shard-000000.txt"]["text_count"]) == (4, 3)
-    assert rows["empty.txt"]["record_count"] == 0
+    assert (rows["empty.txt"]["record_count"], rows["empty.txt"]["text_count"]) == (1, 0)
     full = ensure_corpus_index(spark, root, str(source / "other"), reuse=False)
     assert {tuple(row) for row in full.index.collect()} == {tuple(row) for row in third.index.collect()}
     (source / "corpus" / "empty.txt").unlink()
