@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from lexmill.config import TrainingConfig
 from lexmill.functions import text as tx
-from lexmill.functions.hashing import row_hash
+from lexmill.functions.hashing import bag_checksum, row_hash
 from lexmill.functions.normalize import normalize
-from lexmill.operators.stats import bag_checksum
 
 # The four reviewed exports, their kinds, sides used and notes; the held-out splits.
 EXPORT_NOTES = {

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.hashing import row_hash
+from lexmill.functions.hashing import hex_checksum, row_hash
 from lexmill.functions.normalize import normalize
 from lexmill.functions.text import byte_length, corpus_kind
 from lexmill.operators.ordering import running_total
@@ -15,17 +15,6 @@ from lexmill.operators.sharding import text_bytes
 SHARD_NOTE = "Tokenizer-ready corpus shard exported from the Parquet ingestion pipeline."
 SUPPLEMENTAL_NOTE = "Supplemental tokenizer corpus text placed beside the exported Parquet shards."
 COMPLETED, SKIPPED, PENDING, PROCESSED = "completed", "skipped", "pending", "processed"
-CHECKSUM_MODULUS = 1 << 60
-
-
-def hex_checksum(value: Column) -> Column:
-    return F.concat(F.lit("md5x60:"), F.lower(F.hex(F.coalesce(value, F.lit(0)))))
-
-
-def bag_checksum(row_hashes: Column) -> Column:
-    """Aggregate: a checksum of a bag of rows, the same for any order and partitioning."""
-    total = F.sum(row_hashes.cast("decimal(20,0)"))
-    return hex_checksum((total % F.lit(CHECKSUM_MODULUS).cast("decimal(20,0)")).cast("long"))
 
 
 def file_stats(texts: DataFrame) -> DataFrame:

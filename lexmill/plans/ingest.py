@@ -23,7 +23,7 @@ from lexmill.sources import files as listing
 from lexmill.sources import parquet_text
 
 RUN_SCHEMA = (
-    "status string, resumed_run_count int, batches long, last_shard long, open_bytes long, "
+    "first_run int, status string, resumed_run_count int, batches long, last_shard long, open_bytes long, "
     "discovery_checksum string, finished_utc string, last_error string"
 )
 CORPUS_SCHEMA = "relative_path string, row_index long, text string, run int, shard_id int"
@@ -54,8 +54,11 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def run_history(spark: SparkSession, output_root: str) -> DataFrame | None:
-    """Committed runs, one row each."""
-    return _stored(spark, f"{output_root}/run_metrics")
+    """Committed runs since the last fresh start, one row each."""
+    runs = _stored(spark, f"{output_root}/run_metrics")
+    if runs is None:
+        return None
+    return runs.filter(F.col("run") >= runs.agg(F.max_by("first_run", "run")).scalar())
 
 
 def file_log(spark: SparkSession, output_root: str) -> DataFrame | None:
@@ -95,7 +98,7 @@ def within_batches(chosen: DataFrame, batch_rows: int, max_batches: int) -> Data
 
 
 def ingest_files(
-    spark: SparkSession, config: IngestConfig, files: DataFrame, run: int, resumed: bool, fingerprint: str = ""
+    spark: SparkSession, config: IngestConfig, files: DataFrame, run: int, first_run: int, fingerprint: str = ""
 ) -> bool:
     """Ingest the listed files as run ``run`` and commit it; true when all of them were taken."""
     out = config.output_root
@@ -121,7 +124,7 @@ def ingest_files(
     records = cut_lineage(stats.status_records(taken, totals))
     good = records.filter("status = 'completed'").select("relative_path")
 
-    first_shard, open_bytes = _open_shard(spark, out, run)
+    first_shard, open_bytes = _open_shard(spark, out, run, first_run)
     kept = batches.join(good, "relative_path", "left_semi")
     assigned = cut_lineage(sharding.assign_shards(kept, config.shard_bytes, first_shard, open_bytes))
     # texts of a file that failed late have no batch here, so the join leaves them out
@@ -131,28 +134,29 @@ def ingest_files(
     records.coalesce(1).write.mode("overwrite").parquet(f"{out}/ingest_files/run={run}")
 
     all_taken = taken is chosen or taken.count() == chosen.count()
-    _commit(spark, config, run, resumed, all_taken, batches, assigned, (first_shard, open_bytes), records, fingerprint)
+    _commit(spark, config, run, first_run, all_taken, batches, assigned, (first_shard, open_bytes), records, fingerprint)
     return all_taken
 
 
-def _open_shard(spark: SparkSession, output_root: str, run: int) -> tuple[int, int]:
+def _open_shard(spark: SparkSession, output_root: str, run: int, first_run: int) -> tuple[int, int]:
     """The shard the last committed run before this one left open, and the bytes in it."""
-    runs = run_history(spark, output_root) if run > 0 else None
+    runs = run_history(spark, output_root) if run > first_run else None
     if runs is None:
         return 0, 0
     last = runs.filter(F.col("run") < run).orderBy(F.desc("run")).first()
     return (last["last_shard"], last["open_bytes"]) if last else (0, 0)
 
 
-def _commit(spark, config, run, resumed, all_taken, batches, assigned, opened, records, fingerprint) -> None:
+def _commit(spark, config, run, first_run, all_taken, batches, assigned, opened, records, fingerprint) -> None:
     last = assigned.groupBy("shard_id").agg(F.sum("text_bytes").alias("filled")).orderBy(F.desc("shard_id")).first()
     last_shard, filled = (last["shard_id"], last["filled"]) if last else opened
     if last and last_shard == opened[0]:
         filled += opened[1]
     error = records.filter("status = 'skipped'").agg(F.max_by("note", "relative_path")).first()[0]
     row = (
+        first_run,
         "completed" if all_taken else "interrupted",
-        run if resumed else 0,
+        run - first_run,
         batches.count(),
         last_shard,
         filled,
@@ -168,34 +172,24 @@ def run_ingest(spark: SparkSession, config: IngestConfig) -> IngestResult:
     """One ingest run over the files not done yet, then manifest and report."""
     found = cut_lineage(listing.list_parquet(spark, config.parquet_root, config.recursive))
     fingerprint = listing.discovery_fingerprint(found).first()["checksum"]
-    history = run_history(spark, config.output_root) if config.resume else None
-    done = file_log(spark, config.output_root) if config.resume else None
-    resumed = history is not None and done is not None
+    history, done = run_history(spark, config.output_root), file_log(spark, config.output_root)
+    resumed = config.resume and done is not None
+    last = history.agg(F.max("run").alias("run"), F.max("first_run").alias("first_run")).first() if history is not None else None
+    run = last["run"] + 1 if last else 0
+    # a fresh start leaves the earlier runs behind; they stay visible until it commits
+    first_run = last["first_run"] if resumed else run
+    waiting = found
     if resumed:
         changed = done.join(found, ["relative_path", "input_bytes"], "left_anti")
         if changed.limit(1).count():
             raise ValueError(MISMATCH)
-        run = history.agg(F.max("run")).first()[0] + 1
         waiting = found.join(done, "relative_path", "left_anti")
-    else:
-        run, waiting = 0, found
-        _forget(spark, config.output_root)
     selected = listing.first_files(waiting, config.max_files)
-    ingested = ingest_files(spark, config, selected, run, resumed, fingerprint)
+    ingested = ingest_files(spark, config, selected, run, first_run, fingerprint)
     left_over = config.max_files > 0 and waiting.limit(config.max_files + 1).count() > config.max_files
     return report(spark, config, found, resumed, ingested and not left_over)
 
 
-def _forget(spark: SparkSession, output_root: str) -> None:
-    """Start anew: without a committed run, earlier output does not count. Done through the file system of the root."""
-    if run_history(spark, output_root) is None:
-        return
-    jvm = spark.sparkContext._jvm
-    for name in ("run_metrics", "ingest_files", "corpus"):
-        path = jvm.org.apache.hadoop.fs.Path(f"{output_root}/{name}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def report(
     spark: SparkSession, config: IngestConfig, found: DataFrame, resumed: bool, completed: bool
 ) -> IngestResult:

@@ -127,25 +127,21 @@ def chosen_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parquet_text.choose_text_column(parquet_text.probe_footers(files.list_parquet(spark, sf_dir)))
 
 
-def ingest_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ingest_texts(spark: SparkSession, sf_dir: str, chosen: DataFrame | None = None) -> DataFrame:
     """Normalised texts of every Parquet file that has a text column."""
-    scan = spread_scan(parquet_text.scan_text(spark, sf_dir, chosen_columns(spark, sf_dir)), "row_index")
+    chosen = chosen_columns(spark, sf_dir) if chosen is None else chosen
+    scan = spread_scan(parquet_text.scan_text(spark, sf_dir, chosen), "row_index")
     return scan.withColumn("text", normalize(F.col("text")))
 
 
 def ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = cut_lineage(chosen_columns(spark, sf_dir))
-    scan = spread_scan(parquet_text.scan_text(spark, sf_dir, chosen), "row_index")
-    scan = scan.withColumn("text", normalize(F.col("text")))
-    return stats.status_records(chosen, stats.file_stats(scan))
-
-
-def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.batch_sizes(ingest_texts(spark, sf_dir), BATCH_ROWS)
+    return stats.status_records(chosen, stats.file_stats(ingest_texts(spark, sf_dir, chosen)))
 
 
-def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(batches(spark, sf_dir), SHARD_BYTES, segment_shards=SEGMENT_SHARDS)
+def packed(texts: DataFrame) -> DataFrame:
+    sizes = sharding.batch_sizes(texts, BATCH_ROWS)
+    return sharding.assign_shards(sizes, SHARD_BYTES, segment_shards=SEGMENT_SHARDS)
 
 
 # Scalar functions
@@ -302,20 +298,21 @@ def status_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batches(spark, sf_dir)
+    return sharding.batch_sizes(ingest_texts(spark, sf_dir), BATCH_ROWS)
 
 
 def shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assigned(spark, sf_dir).drop("start_bytes")
+    return packed(ingest_texts(spark, sf_dir)).drop("start_bytes")
 
 
 def shard_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_totals(assigned(spark, sf_dir))
+    return sharding.shard_totals(packed(ingest_texts(spark, sf_dir)))
 
 
 def shard_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text with the name of its shard, as the sink writes it."""
-    placed = sharding.place_texts(ingest_texts(spark, sf_dir), assigned(spark, sf_dir), BATCH_ROWS)
+    texts = ingest_texts(spark, sf_dir)
+    placed = sharding.place_texts(texts, packed(texts), BATCH_ROWS)
     return placed.select("relative_path", "row_index", tx.shard_name(F.col("shard_id")).alias("shard_name"), "text")
 
 

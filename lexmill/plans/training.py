@@ -101,7 +101,7 @@ def train_tokenizer(
 def build_manifest(
     tokenizer: Tokenizer, training: TrainingInput, selected_lines: int, config: TrainingConfig
 ) -> DataFrame:
-    """The manifest row; every count in it is measured."""
+    """The manifest row; every count in it is measured. The sources are a table of their own, the lineage."""
     evaluation = evaluate.evaluate_held_out(tokenizer, training.held_out)
     facts = evaluation.withColumns(
         {
@@ -124,13 +124,8 @@ def build_manifest(
     rounded = [name for name in facts.columns if name.startswith("average_")]
     for name in rounded:
         facts = facts.withColumn(name, F.round(name, 4))
-    # one entry for each source file
-    sources = F.array_sort(F.collect_list(F.struct(*training.lineage.drop("repeated_count").columns)))
-    listed = training.lineage.agg(sources.alias("source_files"))
     special = F.create_map(*[F.lit(x) for item in sorted(tokenizer.special_tokens.items()) for x in item])
-    return cut_lineage(
-        facts.withColumn("special_tokens", special).withColumn("source_files", listed.scalar())
-    )
+    return cut_lineage(facts.withColumn("special_tokens", special))
 
 
 # The sentences of the sample report, by category.

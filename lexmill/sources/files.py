@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.functions.hashing import fnv_checksum
+from lexmill.functions.hashing import bag_checksum, row_hash
 from lexmill.functions.text import is_supplemental, relative_path
 
 LISTING_SCHEMA = T.StructType(
@@ -59,29 +59,22 @@ def list_corpus_text(spark: SparkSession, root: str) -> DataFrame:
     return files.withColumn("supplemental", is_supplemental(F.col("relative_path")))
 
 
-def _listing_checksum(files: DataFrame, separator: str) -> DataFrame:
-    """Checksum of the ordered ``path<separator>bytes`` lines: one short line for each file, no file data."""
-    entry = F.struct("relative_path", "input_bytes")
-    lines = F.transform(
-        F.array_sort(F.collect_list(entry)),
-        lambda file: F.concat(file["relative_path"], F.lit(separator), file["input_bytes"].cast("string"), F.lit("\n")),
-    )
+def discovery_fingerprint(files: DataFrame) -> DataFrame:
+    """One row: file count, byte total and fingerprint of a discovered file set.
+
+    The fingerprint is the same for any order of the list, so it is put together from partial sums.
+    """
     return files.agg(
         F.count("*").alias("file_count"),
         F.coalesce(F.sum("input_bytes"), F.lit(0)).alias("total_bytes"),
-        fnv_checksum(F.array_join(lines, "")).alias("checksum"),
+        bag_checksum(row_hash(F.col("relative_path"), F.col("input_bytes"))).alias("checksum"),
     )
 
 
-def discovery_fingerprint(files: DataFrame) -> DataFrame:
-    """One row: file count, byte total and fingerprint of a discovered file set."""
-    return _listing_checksum(files, "\t")
-
-
 def dataset_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Audit row over the Parquet files directly under ``root``; all zero when it does not exist."""
     try:
         files = list_parquet(spark, root, recursive=False)
     except FileNotFoundError:
         files = spark.createDataFrame([], LISTING_SCHEMA)
-    return _listing_checksum(files, ":")
+    return discovery_fingerprint(files)

@@ -39,7 +39,7 @@ def start_ingest_stream(
     )
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        ingest_files(batch.sparkSession, config, batch, batch_id, resumed=batch_id > 0)
+        ingest_files(batch.sparkSession, config, batch, batch_id, first_run=0)
 
     writer = listed.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
     return (writer if continuous else writer.trigger(availableNow=True)).start()

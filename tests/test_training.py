@@ -69,7 +69,7 @@ def test_training_run_end_to_end(spark, source, tmp_path):
     assert manifest["special_tokens"] == {"<unk>": 0, "<bos>": 1, "<eos>": 2, "<pad>": 3}
     assert manifest["unknown_token_count"] == 0 and manifest["byte_fallback_token_count"] > 0
     assert manifest["training_text_count"] >= manifest["guaranteed_training_text_count"] > 0
-    assert len(manifest["source_files"]) == 7
+    assert result.lineage.count() == 7
     lineage = {row["relative_path"]: row for row in result.lineage.collect()}
     supervised = lineage["exports/small_supervised/small_supervised.jsonl"]
     assert (supervised["record_count"], supervised["text_count"], supervised["repeated_count"]) == (2, 1, 2)
@@ -90,7 +90,8 @@ def test_training_run_end_to_end(spark, source, tmp_path):
     vocab = spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(f"{options.manifests}/vocab")
     assert vocab.columns == ["id", "kind", "label", "piece_hex", "visible_piece"] and vocab.count() == 400
     stored = json.loads(spark.read.text(f"{options.manifests}/manifest").first()["value"])
-    kinds = {entry["kind"] for entry in stored["source_files"]}
+    assert stored["learned_vocab_size"] == 400
+    kinds = {row["kind"] for row in spark.read.json(f"{options.manifests}/sources").collect()}
     assert {"parquet_corpus_text", "supplemental_corpus_text", "corpus_inventory"} <= kinds
     assert json.loads(spark.read.text(f"{options.manifests}/config").first()["value"])["vocab_size"] == 400
 
