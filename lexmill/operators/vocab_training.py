@@ -53,24 +53,26 @@ def split_symbols(words: DataFrame) -> DataFrame:
     return words.select(F.array_join(F.split("word", ""), " ").alias("symbols"), "freq")
 
 
-def _contexts(symbols: Column) -> Column:
-    """Every symbol of a word with its two neighbours; the empty string stands beyond either end."""
-    outside = F.array(F.lit(""))
-    padded = F.concat(outside, F.split(symbols, " "), outside)
+def _contexts(padded: Column) -> Column:
+    """Every symbol of a word with its two neighbours, from its symbols between two empty strings."""
     size = F.size(padded)
     pairs = F.zip_with(
-        padded, F.slice(padded, F.lit(2), size), lambda left, mid: F.struct(left.alias("left"), mid.alias("mid"))
+        F.slice(padded, F.lit(1), size - 2),
+        F.slice(padded, F.lit(2), size - 2),
+        lambda left, mid: F.struct(left.alias("left"), mid.alias("mid")),
     )
-    triples = F.zip_with(
+    return F.zip_with(
         pairs,
-        F.slice(padded, F.lit(3), size),
+        F.slice(padded, F.lit(3), size - 2),
         lambda pair, right: F.struct(pair["left"].alias("left"), pair["mid"].alias("mid"), right.alias("right")),
     )
-    return F.filter(triples, lambda triple: triple["right"].isNotNull())
 
 
 def _exploded(words: DataFrame, symbols: Column, freq: Column) -> DataFrame:
-    return words.select(F.explode(_contexts(symbols)).alias("at"), freq.alias("count")).select("at.*", "count")
+    outside = F.array(F.lit(""))
+    # split once, in a projection of its own below the explode
+    padded = words.select(F.concat(outside, F.split(symbols, " "), outside).alias("padded"), freq.alias("count"))
+    return padded.select(F.explode(_contexts(F.col("padded"))).alias("at"), "count").select("at.*", "count")
 
 
 def context_counts(symbols: DataFrame) -> DataFrame:

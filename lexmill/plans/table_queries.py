@@ -30,7 +30,7 @@ CAP_LINES_PER_DOCUMENT = 5
 #: Vocabulary of the queries that encode.
 VOCAB_SIZE = 512
 #: New pieces of the merge query.
-MERGE_PIECES = 24
+MERGE_PIECES = 48
 
 CONFIG = TrainingConfig(vocab_size=VOCAB_SIZE)
 
@@ -202,7 +202,7 @@ def byte_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def corpus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = corpus.raw_lines(corpus_texts(spark, sf_dir))
     return lines.select(
-        "relative_path", F.col("position.row_index").alias("row_index"), F.col("position.pos").alias("pos"), "raw"
+        "relative_path", F.col("position.row_index").alias("row_index"), F.col("position.pos").cast("long").alias("pos"), "raw"
     )
 
 
@@ -276,7 +276,8 @@ def ingest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_text_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.text_columns_used(ingest_records(spark, sf_dir))
+    used = stats.text_columns_used(ingest_records(spark, sf_dir))
+    return used.select(F.array_join("detected_text_columns", ",").alias("detected_text_columns"))
 
 
 def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
