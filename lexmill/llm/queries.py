@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import exact_dedup
+from lexmill.llm import byte_bpe, exact_dedup
 from lexmill.llm.common import table
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate_halves(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op5_byte_bpe": op5_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
