@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, exact_dedup
+from lexmill.llm import byte_bpe, chat_format, exact_dedup
 from lexmill.llm.common import table
 
 
+#: A conversation of the contract whose texts consist of another template's control strings.
+CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.assemble(turns.unionByName(extra)))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
     return decoded.select(
@@ -21,6 +31,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_chat_format": op2_chat_format,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
 }
