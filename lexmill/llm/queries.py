@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, chat_format, exact_dedup
+from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints
 from lexmill.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.assemble(turns.unionByName(extra)))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
     return decoded.select(
@@ -32,6 +36,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat_format": op2_chat_format,
+    "op3_fingerprints": op3_fingerprints,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
 }
