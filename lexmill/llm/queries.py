@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints
+from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints, html_extract
 from lexmill.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
     return decoded.select(
@@ -37,6 +41,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op3_fingerprints": op3_fingerprints,
+    "op4_html_extract": op4_html_extract,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
 }
