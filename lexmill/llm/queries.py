@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints, html_extract
-from lexmill.llm.common import table
+from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints, html_extract, toxicity
+from lexmill.llm.common import id_remainder, table
 
 
 #: A conversation of the contract whose texts consist of another template's control strings.
@@ -28,22 +28,27 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
-    return decoded.select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate_halves(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), id_remainder("doc_id", 4) == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = docs.select("doc_id", held_out.alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op3_fingerprints": op3_fingerprints,
     "op4_html_extract": op4_html_extract,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_toxicity": op9_toxicity,
 }
 
 #: White space of the exact-dedup contract, as DuckDB's regular expression.
