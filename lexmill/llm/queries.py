@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints, html_extract, toxicity
+from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints, html_extract, quality, toxicity
 from lexmill.llm.common import id_remainder, table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), id_remainder("doc_id", 5) == 0
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    measured = docs.select("doc_id", held_out.alias("held_out"), quality.statistics(F.col("text")).alias("of"))
+    scored = measured.select("doc_id", "held_out", model.score(F.col("of")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 #: A conversation of the contract whose texts consist of another template's control strings.
 CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -43,6 +51,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_chat_format": op2_chat_format,
     "op3_fingerprints": op3_fingerprints,
     "op4_html_extract": op4_html_extract,
