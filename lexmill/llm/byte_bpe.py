@@ -9,27 +9,30 @@ whole; repeated rows are encoded each on its own; an empty table gives an empty
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from lexmill.llm.common import keyed_texts
+from lexmill.llm.common import keyed_texts, map_slices
 
 #: The default vocabulary.
 RANKS_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Entries of a generation of each memo; the longest piece that enters one.
-MEMO_ENTRIES = 250_000
-MEMO_CHARS = 64
+MEMO_ENTRIES = 150_000
+MEMO_CHARS = 40
 
 #: White space other than single blanks between words: there a blank does not simply open the next pre-token.
 _IRREGULAR = re.compile(r" \s|[^\S ] |^\s|\s$|[\x1c-\x1f]")
@@ -74,20 +77,20 @@ class PerfectHash:
         return slot if self.keys[slot] == key else -1
 
 
-class _Memo(dict):
+class Memo(dict):
     """A dict that computes what it lacks; when it is full it becomes the older of two generations."""
 
-    def __init__(self, compute) -> None:
+    def __init__(self, compute: Callable[[str], bytes], entries: int, longest: int = MEMO_CHARS) -> None:
         super().__init__()
-        self._compute = compute
+        self._compute, self._entries, self._longest = compute, entries, longest
         self._older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         found = self._older.get(piece)
         if found is None:
             found = self._compute(piece)
-        if len(piece) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
+        if len(piece) <= self._longest:
+            if len(self) >= self._entries:
                 self._older = dict(self)
                 self.clear()
             self[piece] = found
@@ -108,8 +111,8 @@ class ByteCodec:
             self.pieces[rank] = piece
         self._ranks = ranks
         self._pattern = regex.compile(pattern)
-        self._words = _Memo(self._encode_word)
-        self._chunks = _Memo(lambda chunk: b"".join(map(self._words.__getitem__, self._pattern.findall(chunk))))
+        self._words = Memo(self._encode_word, MEMO_ENTRIES)
+        self._chunks = Memo(self._encode_chunk, MEMO_ENTRIES)
 
     def _encode_word(self, word: str) -> bytes:
         raw = word.encode()
@@ -117,6 +120,9 @@ class ByteCodec:
         ids = [self.rank_of_slot[slot]] if slot >= 0 else self.merge(raw)
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _encode_chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self._words.__getitem__, self._pattern.findall(chunk)))
+
     def merge(self, raw: bytes) -> list[int]:
         """Merge single bytes by a heap of (rank, position) over a doubly linked list."""
         ranks, size = self._ranks, len(raw)
@@ -160,7 +166,7 @@ class ByteCodec:
         No pre-token reaches over a blank between two words, so regular texts are encoded word by word.
         """
         if _IRREGULAR.search(text):
-            return b"".join(map(self._words.__getitem__, self._pattern.findall(text)))
+            return self._encode_chunk(text)
         first, *rest = text.split(" ")
         chunks = self._chunks
         return chunks[first] + b"".join([chunks[" " + word] for word in rest]) if text else b""
@@ -177,15 +183,15 @@ def codec(path: str) -> ByteCodec:
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = RANKS_PATH) -> DataFrame:
     """``(doc_id, n_tokens, ids)``: the ids of each text as little-endian unsigned 32-bit integers."""
+    texts = keyed_texts(df, id_col, text_col)
+    id_type = to_arrow_type(texts.schema["doc_id"].dataType)
+    schema = pa.schema([("doc_id", id_type), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
-    @F.pandas_udf("binary")
-    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = codec(path)
-        for texts in batches:
-            yield texts.map(coder.encode)
+    def work(doc_ids: list, texts: list[str]) -> list[list]:
+        ids = [codec(path).encode(text) for text in texts]
+        return [doc_ids, [len(part) // 4 for part in ids], ids]
 
-    encoded = keyed_texts(df, id_col, text_col).select("doc_id", ids_of("text").alias("ids"))
-    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    return map_slices(texts, work, schema)
 
 
 def decode(df: DataFrame, ids_col: str = "ids", path: str = RANKS_PATH) -> DataFrame:
@@ -193,9 +199,27 @@ def decode(df: DataFrame, ids_col: str = "ids", path: str = RANKS_PATH) -> DataF
 
     @F.pandas_udf("binary")
     def bytes_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = codec(path)
         for ids in batches:
-            yield ids.map(coder.decode, na_action="ignore")
+            yield ids.map(codec(path).decode, na_action="ignore")
 
     return df.withColumn("decoded", bytes_of(ids_col))
 
+
+def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = RANKS_PATH) -> DataFrame:
+    """`encode` and `decode` in one pass: ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``."""
+    texts = keyed_texts(df, id_col, text_col)
+    id_type = to_arrow_type(texts.schema["doc_id"].dataType)
+    schema = pa.schema(
+        [("doc_id", id_type), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    )
+
+    def work(doc_ids: list, texts: list[str]) -> list[list]:
+        coder, counts, digests, decoded = codec(path), [], [], []
+        for text in texts:
+            ids = coder.encode(text)
+            counts.append(len(ids) // 4)
+            digests.append(hashlib.sha256(ids).hexdigest())
+            decoded.append(hashlib.sha256(coder.decode(ids)).hexdigest())
+        return [doc_ids, counts, digests, decoded]
+
+    return map_slices(texts, work, schema)
