@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints, html_extract, quality, simhash, toxicity
+from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints, html_extract, packing, quality, simhash, toxicity
 from lexmill.llm.common import id_remainder, table
 
 
@@ -39,6 +39,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_by_simhash(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op3_fingerprints": op3_fingerprints,
     "op4_html_extract": op4_html_extract,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
