@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints, html_extract, packing, quality, simhash, toxicity
+from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints, html_extract, lm_score, packing, quality, simhash, toxicity
 from lexmill.llm.common import id_remainder, table
 
 
@@ -58,6 +58,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.fit_and_score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_chat_format": op2_chat_format,
@@ -68,6 +72,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 #: White space of the exact-dedup contract, as DuckDB's regular expression.
