@@ -63,7 +63,7 @@ def main() -> None:
     spark = local_session("bench", cores=cores, shuffle_partitions=max(8, int(cores)))
     spark.sparkContext.setLogLevel("ERROR")
     drain(q.normalize_conversations(spark, sf_dir))
-    q.tokenizer(spark, sf_dir)
+    q.subword_model(spark, sf_dir)
     timings = {}
     for name, run in HEADLINES.items():
         taken = []

@@ -10,7 +10,7 @@ FALLBACK_NAME_PARTS = ("text", "content", "body")
 
 # Ids and pieces of the special tokens.
 SPECIAL_TOKENS = (("<unk>", 0), ("<bos>", 1), ("<eos>", 2), ("<pad>", 3))
-TOKENIZER_TYPE = "sentencepiece_bpe_v1"
+MODEL_TYPE = "sentencepiece_bpe_v1"
 
 
 def _at_least(minimum: int, **values: int) -> None:
@@ -47,6 +47,8 @@ class TrainingConfig:
     max_sentence_length: int = 16384
     sample_cap: int = 5000000
     sample_mode: str = "bernoulli"
+    #: Hash of the ``bernoulli`` mode: ``md5``, or ``fnv`` for the byte-wise 64-bit checksum. ``exact`` takes ``md5``.
+    sample_hash: str = "md5"
     parquet_corpus_weight: int = 1
     base_training_output_weight: int = 2
     contextualization_input_weight: int = 1
@@ -63,6 +65,8 @@ class TrainingConfig:
             raise ValueError("vocab_size must exceed the number of special tokens")
         if self.sample_mode not in ("bernoulli", "exact"):
             raise ValueError(f"unknown sample_mode {self.sample_mode!r}")
+        if self.sample_hash not in ("md5", "fnv") or (self.sample_mode, self.sample_hash) == ("exact", "fnv"):
+            raise ValueError(f"sample_hash {self.sample_hash!r} does not go with sample_mode {self.sample_mode!r}")
         _at_least(1, max_piece_length=self.max_piece_length, max_sentence_length=self.max_sentence_length)
         _at_least(1, candidates_per_round=self.candidates_per_round)
         _at_least(0, sample_cap=self.sample_cap, parquet_corpus_weight=self.parquet_corpus_weight)

@@ -37,6 +37,11 @@ def numbered_texts(texts: DataFrame) -> DataFrame:
     return _as_training_lines(explode_numbered(lined, "lines").withColumnRenamed("line", "text"))
 
 
+def unnumbered_texts(texts: DataFrame) -> DataFrame:
+    """``(weight, text)`` of the same lines, for counts that need no order: one scan and no shuffle."""
+    return texts.select(F.lit(1).alias("weight"), F.explode(normalized_lines(F.col("text"))).alias("text"))
+
+
 def numbered_file_lines(lines: DataFrame) -> DataFrame:
     """As :func:`numbered_texts`, for the lines of text files ``(relative_path, block, position, raw)``."""
     kept = lines.withColumn("text", normalize(F.col("raw"))).filter("text != ''").drop("raw")

@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import byte_length, ratio
-from lexmill.operators.tokenizer import Tokenizer
+from lexmill.operators.subword_model import SubwordModel
 
 
-def evaluate_held_out(tokenizer: Tokenizer, held_out: DataFrame) -> DataFrame:
+def evaluate_held_out(model: SubwordModel, held_out: DataFrame) -> DataFrame:
     """One row: texts, bytes, tokens, byte-fallback and unknown tokens, and their averages (0 when empty)."""
-    encoded = held_out.select("text", tokenizer.encode(F.col("text")).alias("ids"))
+    encoded = held_out.select("text", model.encode(F.col("text")).alias("ids"))
     sums = encoded.select(
         byte_length(F.col("text")).alias("octets"),
         F.size("ids").alias("tokens"),
-        tokenizer.byte_fallback_count(F.col("ids")).alias("fallback"),
-        tokenizer.unknown_count(F.col("ids")).alias("unknown"),
+        model.byte_fallback_count(F.col("ids")).alias("fallback"),
+        model.unknown_count(F.col("ids")).alias("unknown"),
     ).agg(
         F.count("*").alias("held_out_text_count"),
         *[

@@ -36,12 +36,12 @@ def bounded_sample(lines: DataFrame, budget: DataFrame, hash_kind: str = "md5")
     """Keep every guaranteed line, and shard lines whose key hashes below the rate.
 
     ``lines`` is ``(relative_path, line_no, kind, weight, text)``. Each kept line comes once. The cap holds in
-    expectation; :func:`exact_sample` meets it exactly.
+    expectation; :func:`exact_sample` meets it exactly. The rate is read as one value, 2 where the budget takes all lines.
     """
     position = fnv_unit_interval(line_key()) if hash_kind == "fnv" else unit_interval(line_key())
-    over_budget = budget.select(F.col("shard_text_count") > F.col("budget")).scalar()
-    sampled = (F.col("kind") == PARQUET_CORPUS) & over_budget
-    return lines.filter(~sampled | (position < budget.select("rate").scalar()))
+    within = F.col("shard_text_count") <= F.col("budget")
+    rate = budget.select(F.when(within, 2.0).otherwise(F.col("rate"))).scalar()
+    return lines.filter((F.col("kind") != PARQUET_CORPUS) | (position < rate))
 
 
 def hash_threshold(bits: DataFrame, budget: int) -> tuple[int, int]:
@@ -66,12 +66,19 @@ def hash_threshold(bits: DataFrame, budget: int) -> tuple[int, int]:
     return low, budget - kept
 
 
-def exact_sample(lines: DataFrame, budget: int) -> DataFrame:
-    """As :func:`bounded_sample`, but exactly ``budget`` shard lines: those with the smallest hashes."""
+def exact_sample(lines: DataFrame, budget: DataFrame) -> DataFrame:
+    """As :func:`bounded_sample`, but exactly the rate's share of the shard lines: those with the smallest hashes.
+
+    The budget counts lines by weight, so with a weight of w it stands for a w-th of as many lines; with a weight of 0,
+    or room for everything, all shard lines stay.
+    """
+    room = budget.first()
+    if room["shard_text_count"] <= room["budget"]:
+        return lines
     hashed = lines.withColumn("_bits", F.when(F.col("kind") == PARQUET_CORPUS, unit_bits(line_key())))
     # eight bytes a line, read by all rounds instead of hashing the texts again
     bits = cut_lineage(hashed.filter("_bits is not null").select(F.col("_bits").alias("bits")))
-    threshold, ties = hash_threshold(bits, budget)
+    threshold, ties = hash_threshold(bits, bits.count() * room["budget"] // room["shard_text_count"])
     kept = hashed.filter(F.col("_bits").isNull() | (F.col("_bits") < threshold)).drop("_bits")
     if ties == 0:
         return kept

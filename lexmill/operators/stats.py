@@ -11,10 +11,12 @@ from lexmill.functions.text import byte_length, corpus_kind
 from lexmill.operators.ordering import running_total
 from lexmill.operators.sharding import text_bytes
 
-# Notes and statuses of the file tables.
-SHARD_NOTE = "Tokenizer-ready corpus shard exported from the Parquet ingestion pipeline."
-SUPPLEMENTAL_NOTE = "Supplemental tokenizer corpus text placed beside the exported Parquet shards."
+SHARD_NOTE = "A shard of normalised text, written by an ingest run."
+SUPPLEMENTAL_NOTE = "Extra corpus text that somebody put beside the shards."
+# Statuses of the file tables.
 COMPLETED, SKIPPED, PENDING, PROCESSED = "completed", "skipped", "pending", "processed"
+#: A bounded run stopped inside the file.
+PARTIAL = "partial"
 
 
 def file_stats(texts: DataFrame) -> DataFrame:
@@ -101,14 +103,14 @@ def corpus_index(lines: DataFrame) -> DataFrame:
         byte_length(normalized).alias("_bytes"),
     )
     numbered = running_total(measured, F.lit(1), "_earlier", "position")
-    path = F.col("relative_path")
-    return numbered.groupBy("relative_path").agg(
-        corpus_kind(F.first(path)).alias("kind"),
+    totals = numbered.groupBy("relative_path").agg(
         F.count("*").alias("record_count"),
         F.count_if(F.col("_bytes") > 0).alias("text_count"),
         F.sum("_bytes").alias("character_count"),
         hex_checksum(F.bit_xor(row_hash(F.col("_earlier") + 1, F.col("_digest")))).alias("checksum"),
     )
+    # from the key after the grouping: a string aggregate beside it would sort every row
+    return totals.select("relative_path", corpus_kind(F.col("relative_path")).alias("kind"), *totals.columns[1:])
 
 
 def with_notes(index: DataFrame) -> DataFrame:

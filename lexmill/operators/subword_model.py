@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.config import SPECIAL_TOKENS, TOKENIZER_TYPE
+from lexmill.config import SPECIAL_TOKENS, MODEL_TYPE
 from lexmill.functions.normalize import NORMALIZER_NAME, normalize
 from lexmill.functions.text import SPACE_MARKER, visible
 from lexmill.operators.vocab_training import BYTE_PIECES, merge_table, special_ids, vocab_rows, vocab_table
@@ -51,10 +51,10 @@ def segment_word(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
     return [symbol for symbol in symbols if symbol is not None]
 
 
-class Tokenizer:
+class SubwordModel:
     """A vocabulary and its merges. Both are bounded by the vocabulary size, so they travel as constants."""
 
-    tokenizer_type = TOKENIZER_TYPE
+    model_type = MODEL_TYPE
     normalizer_name = NORMALIZER_NAME
 
     def __init__(self, spark: SparkSession, vocab: DataFrame, merges: DataFrame):
@@ -75,11 +75,11 @@ class Tokenizer:
             self._ranks.setdefault((row["left"], row["right"]), row["rank"])
 
     @classmethod
-    def from_training(cls, spark: SparkSession, training) -> Tokenizer:
+    def from_training(cls, spark: SparkSession, training) -> SubwordModel:
         return cls(spark, vocab_table(spark, training), merge_table(spark, training))
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> Tokenizer:
+    def load(cls, spark: SparkSession, path: str) -> SubwordModel:
         return cls(spark, spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/merges"))
 
     def save(self, path: str) -> None:

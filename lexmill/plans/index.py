@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import corpus_kind, parse_corpus_kind
 from lexmill.operators.stats import corpus_index, with_notes
 from lexmill.session import cut_lineage
-from lexmill.sources.files import list_corpus_text
+from lexmill.sources.files import list_corpus_text, stored_table
 from lexmill.sources.text_lines import scan_lines
 
 # Reasons why an index cannot be reused.
@@ -114,9 +113,8 @@ def ensure_corpus_index(spark: SparkSession, corpus_root: str, index_path: str,
 
 
 def _load(spark: SparkSession, corpus_root: str, index_path: str) -> tuple[DataFrame | None, str]:
-    try:
-        stored = spark.read.parquet(index_path)
-    except AnalysisException:
+    stored = stored_table(spark, index_path)
+    if stored is None:
         return None, NO_INDEX
     if not {*INDEX_COLUMNS, "corpus_root"} <= set(stored.columns):
         return None, ROWS_INVALID

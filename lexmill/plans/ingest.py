@@ -1,15 +1,16 @@
 """Parquet ingest: discover, pick columns, normalise, pack into shards, record, report; resumable.
 
-A run writes ``corpus/run=N`` and ``ingest_files/run=N``, and commits by writing ``run_metrics/run=N``. A run
-that dies before that is overwritten by the next one, so no text is lost or doubled. A file is the
-unit of resuming: a run never leaves a file half done.
+A run reads its files once. It writes the normalised texts to ``corpus/run=N``, takes batch sizes and row counts from
+what was written, packs the batches into shards (``batches/run=N``), logs every file (``ingest_files/run=N``) and commits
+by writing ``run_metrics/run=N``. A run that dies before that is overwritten by the next one, so no text is lost or
+doubled. The unit of resuming is the batch: a run bounded by ``max_batches`` may stop inside a file, and the next
+one goes on there. A file that fails, also in a later run, is left out whole. One writer at a time works on an output.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,15 +19,15 @@ from lexmill.config import IngestConfig
 from lexmill.functions.normalize import normalize
 from lexmill.functions.text import shard_name, utc_text
 from lexmill.operators import sharding, stats
-from lexmill.session import cut_lineage, spread_scan
+from lexmill.session import broadcast_if_small, cut_lineage, spread_scan
 from lexmill.sources import files as listing
 from lexmill.sources import parquet_text
 
 RUN_SCHEMA = (
     "first_run int, status string, resumed_run_count int, batches long, last_shard long, open_bytes long, "
-    "discovery_checksum string, finished_utc string, last_error string"
+    "discovery_checksum string, finished_utc string, last_error string, stream_id string, stream_batch long"
 )
-CORPUS_SCHEMA = "relative_path string, row_index long, text string, run int, shard_id int"
+CORPUS_SCHEMA = "relative_path string, row_index long, batch_no long, text string, run int"
 # Fixed value: refusal to resume over a changed file set.
 MISMATCH = "Resume checkpoint does not match the current Parquet discovery set."
 
@@ -46,16 +47,9 @@ class IngestResult:
     output_root: str
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
 def run_history(spark: SparkSession, output_root: str) -> DataFrame | None:
     """Committed runs since the last fresh start, one row each."""
-    runs = _stored(spark, f"{output_root}/run_metrics")
+    runs = listing.stored_table(spark, f"{output_root}/run_metrics")
     if runs is None:
         return None
     return runs.filter(F.col("run") >= runs.agg(F.max_by("first_run", "run")).scalar())
@@ -63,7 +57,7 @@ def run_history(spark: SparkSession, output_root: str) -> DataFrame | None:
 
 def file_log(spark: SparkSession, output_root: str) -> DataFrame | None:
     """Last status record of each file over the committed runs."""
-    log, runs = _stored(spark, f"{output_root}/ingest_files"), run_history(spark, output_root)
+    log, runs = listing.stored_table(spark, f"{output_root}/ingest_files"), run_history(spark, output_root)
     if log is None or runs is None:
         return None
     # one row for each run
@@ -71,73 +65,129 @@ def file_log(spark: SparkSession, output_root: str) -> DataFrame | None:
     return stats.latest_records(committed.withColumnRenamed("run", "seq"))
 
 
-def load_corpus(spark: SparkSession, output_root: str) -> DataFrame:
-    """The committed corpus: ``(relative_path, row_index, text, run, shard_id)``."""
-    runs = run_history(spark, output_root)
-    if runs is None:
+def shard_batches(spark: SparkSession, output_root: str) -> DataFrame:
+    """``(run, relative_path, batch_no, shard_id, ...)`` of the committed batches whose file has not failed since."""
+    log, runs = file_log(spark, output_root), run_history(spark, output_root)
+    if log is None or runs is None:
         raise FileNotFoundError(f"no committed ingest run under {output_root}")
-    corpus = spark.read.schema(CORPUS_SCHEMA).parquet(f"{output_root}/corpus")
-    return corpus.join(F.broadcast(runs.select("run")), "run", "left_semi")
+    packed = spark.read.parquet(f"{output_root}/batches").join(F.broadcast(runs.select("run")), "run", "left_semi")
+    failed = log.filter(F.col("status") == stats.SKIPPED).select("relative_path")
+    return packed.join(broadcast_if_small(failed, 256), "relative_path", "left_anti")
+
+
+def load_corpus(spark: SparkSession, output_root: str) -> DataFrame:
+    """The committed corpus: ``(relative_path, row_index, text, run, shard_id)``.
+
+    The shard comes from the batch table, which is broadcast while it is small.
+    """
+    shards = shard_batches(spark, output_root).select("run", "relative_path", "batch_no", "shard_id")
+    texts = spark.read.schema(CORPUS_SCHEMA).parquet(f"{output_root}/corpus").filter("text <> ''")
+    placed = texts.join(broadcast_if_small(shards, 256), ["run", "relative_path", "batch_no"])
+    return placed.select("relative_path", "row_index", "text", "run", "shard_id")
 
 
 def within_batches(chosen: DataFrame, batch_rows: int, max_batches: int) -> DataFrame:
-    """The leading files whose batches fit the bound, and always the first one; works on the file list."""
+    """Add ``end_batch`` to files with a ``start_batch``: the first ``max_batches`` batches of all in (path, batch) order.
+
+    A bound of 0 takes everything. Files that the bound does not reach are left out; unreadable ones count no batch.
+    Works on the file list.
+    """
+    total = F.when(F.col("note").isNull(), F.ceil(F.col("footer_rows") / F.lit(batch_rows))).otherwise(0).cast("long")
+    counted = chosen.withColumn("file_batches", total)
     if max_batches == 0:
-        return chosen
+        return counted.withColumn("end_batch", F.col("file_batches"))
     before = W.orderBy("relative_path").rowsBetween(W.unboundedPreceding, -1)
-    ordered = W.orderBy("relative_path")
-    count = F.ceil(F.col("footer_rows") / F.lit(batch_rows))
-    counted = (
-        chosen.withColumn("_count", F.when(F.col("note").isNull(), count).otherwise(0))
-        .withColumn("_before", F.coalesce(F.sum("_count").over(before), F.lit(0)))
-        .withColumn("_place", F.row_number().over(ordered))
-    )
-    return counted.filter(
-        (F.col("_place") == 1) | (F.col("_before") + F.col("_count") <= max_batches)
-    ).drop("_count", "_before", "_place")
+    waiting = F.col("file_batches") - F.col("start_batch")
+    room = F.lit(max_batches) - F.coalesce(F.sum(waiting).over(before), F.lit(0))
+    bounded = counted.withColumn("_room", room).filter("_room > 0")
+    return bounded.withColumn("end_batch", F.col("start_batch") + F.least("_room", waiting)).drop("_room")
 
 
 def ingest_files(
-    spark: SparkSession, config: IngestConfig, files: DataFrame, run: int, first_run: int, fingerprint: str = ""
+    spark: SparkSession,
+    config: IngestConfig,
+    files: DataFrame,
+    run: int,
+    first_run: int,
+    fingerprint: str = "",
+    stream: tuple[str, int] = ("", -1),
 ) -> bool:
-    """Ingest the listed files as run ``run`` and commit it; true when all of them were taken."""
-    out = config.output_root
+    """Ingest the listed files as run ``run`` and commit it; true when all of their batches were taken.
+
+    ``files`` may carry ``start_batch``, where an earlier run stopped in a file.
+    """
+    out, history = config.output_root, file_log(spark, config.output_root) if run > first_run else None
+    if "start_batch" not in files.columns:
+        files = files.withColumn("start_batch", F.lit(0).cast("long"))
     probed = parquet_text.choose_text_column(
-        parquet_text.probe_footers(files), config.text_column, config.candidate_columns
+        parquet_text.probe_footers(files.drop("start_batch")), config.text_column, config.candidate_columns
     )
-    chosen = cut_lineage(probed)
-    taken = chosen
-    if config.max_batches:
-        taken = cut_lineage(within_batches(chosen, config.batch_rows, config.max_batches))
+    chosen = cut_lineage(probed.join(files.select("relative_path", "start_batch"), "relative_path"))
+    taken = cut_lineage(within_batches(chosen, config.batch_rows, config.max_batches))
     if config.stop_on_file_error:
         bad = taken.filter("note is not null").orderBy("relative_path").first()
         if bad is not None:
             raise RuntimeError(f"{bad['relative_path']}: {bad['note']}")
     scan = parquet_text.scan_text(spark, config.parquet_root, taken, skip_corrupt=not config.stop_on_file_error)
+    if config.max_batches or history is not None:
+        # a list of files, which the driver has held already
+        spans = F.broadcast(taken.select("relative_path", "start_batch", "end_batch"))
+        batch = sharding.block_of(F.col("row_index"), config.batch_rows)
+        inside = (batch >= F.col("start_batch")) & (batch < F.col("end_batch"))
+        scan = scan.join(spans, "relative_path").filter(inside).drop("start_batch", "end_batch")
     texts = spread_scan(scan, "row_index").withColumn("text", normalize(F.col("text")))
-    batches = cut_lineage(sharding.batch_sizes(texts, config.batch_rows))
-    totals = batches.groupBy("relative_path").agg(
-        F.sum("rows").alias("rows_processed"),
-        F.sum("text_rows").alias("text_rows_written"),
-        F.sum("text_bytes").alias("text_bytes_written"),
-    )
-    records = cut_lineage(stats.status_records(taken, totals))
-    good = records.filter("status = 'completed'").select("relative_path")
-
+    numbered = texts.withColumn("batch_no", sharding.block_of(F.col("row_index"), config.batch_rows))
+    here = f"{out}/corpus/run={run}"
+    numbered.select("relative_path", "row_index", "batch_no", "text").write.mode("overwrite").parquet(here)
+
+    # everything from here on is about the rows that were written
+    written = spark.read.schema(CORPUS_SCHEMA).parquet(here)
+    batches = cut_lineage(sharding.batch_sizes(written, config.batch_rows))
+    records = cut_lineage(_file_records(taken, batches, history, config.batch_rows))
+    good = records.filter(F.col("status") != stats.SKIPPED).select("relative_path")
     first_shard, open_bytes = _open_shard(spark, out, run, first_run)
     kept = batches.join(good, "relative_path", "left_semi")
     assigned = cut_lineage(sharding.assign_shards(kept, config.shard_bytes, first_shard, open_bytes))
-    # texts of a file that failed late have no batch here, so the join leaves them out
-    placed = sharding.place_texts(texts, assigned, config.batch_rows)
-    corpus = placed.select("relative_path", "row_index", "text", "shard_id")
-    corpus.write.mode("overwrite").partitionBy("shard_id").parquet(f"{out}/corpus/run={run}")
+    assigned.write.mode("overwrite").parquet(f"{out}/batches/run={run}")
     records.coalesce(1).write.mode("overwrite").parquet(f"{out}/ingest_files/run={run}")
 
-    all_taken = taken is chosen or taken.count() == chosen.count()
-    _commit(spark, config, run, first_run, all_taken, batches, assigned, (first_shard, open_bytes), records, fingerprint)
+    unfinished = records.filter(F.col("status") == stats.PARTIAL).limit(1).count()
+    all_taken = not unfinished and taken.count() == chosen.count()
+    _commit(
+        spark, config, run, first_run, all_taken, batches, assigned, (first_shard, open_bytes), records, fingerprint, stream
+    )
     return all_taken
 
 
+def _file_records(taken: DataFrame, batches: DataFrame, history: DataFrame | None, batch_rows: int) -> DataFrame:
+    """A status row for each file; counts add to those of the runs that took earlier batches of it.
+
+    A file must give the rows between its first and its last batch of this run; else it is skipped whole.
+    """
+    read = batches.groupBy("relative_path").agg(
+        F.sum("rows").alias("rows_processed"),
+        F.sum("text_rows").alias("text_rows_written"),
+        F.sum("text_bytes").alias("text_bytes_written"),
+    )
+    rows_due = F.least("footer_rows", F.col("end_batch") * batch_rows) - F.col("start_batch") * batch_rows
+    records = stats.status_records(taken.withColumn("footer_rows", rows_due), read)
+    ends = taken.select("relative_path", "end_batch", "file_batches")
+    records = records.join(ends, "relative_path").withColumn("next_batch", F.col("end_batch"))
+    unfinished = (F.col("status") == stats.COMPLETED) & (F.col("end_batch") < F.col("file_batches"))
+    records = records.withColumn("status", F.when(unfinished, stats.PARTIAL).otherwise(F.col("status")))
+    records = records.drop("end_batch", "file_batches")
+    if history is None:
+        return records
+    counts = ("rows_processed", "text_rows_written", "text_bytes_written")
+    earlier = history.filter(F.col("status") == stats.PARTIAL)
+    earlier = earlier.select("relative_path", *[F.col(name).alias(f"_{name}") for name in counts])
+    joined = records.join(earlier, "relative_path", "left")
+    kept = F.col("status") != stats.SKIPPED
+    for name in counts:
+        joined = joined.withColumn(name, F.when(kept, F.col(name) + F.coalesce(f"_{name}", F.lit(0))).otherwise(0))
+    return joined.select(*records.columns)
+
+
 def _open_shard(spark: SparkSession, output_root: str, run: int, first_run: int) -> tuple[int, int]:
     """The shard the last committed run before this one left open, and the bytes in it."""
     runs = run_history(spark, output_root) if run > first_run else None
@@ -147,7 +197,9 @@ def _open_shard(spark: SparkSession, output_root: str, run: int, first_run: int)
     return (last["last_shard"], last["open_bytes"]) if last else (0, 0)
 
 
-def _commit(spark, config, run, first_run, all_taken, batches, assigned, opened, records, fingerprint) -> None:
+def _commit(
+    spark, config, run, first_run, all_taken, batches, assigned, opened, records, fingerprint, stream
+) -> None:
     last = assigned.groupBy("shard_id").agg(F.sum("text_bytes").alias("filled")).orderBy(F.desc("shard_id")).first()
     last_shard, filled = (last["shard_id"], last["filled"]) if last else opened
     if last and last_shard == opened[0]:
@@ -163,27 +215,45 @@ def _commit(spark, config, run, first_run, all_taken, batches, assigned, opened,
         fingerprint,
         "",
         error or "",
+        *stream,
     )
     metrics = spark.createDataFrame([row], RUN_SCHEMA).withColumn("finished_utc", utc_text())
     metrics.coalesce(1).write.mode("overwrite").parquet(f"{config.output_root}/run_metrics/run={run}")
 
 
+def waiting_files(found: DataFrame, done: DataFrame | None) -> DataFrame:
+    """The files of ``found`` that are not done yet, with the batch to go on at; changed files are refused."""
+    if done is None:
+        return found.withColumn("start_batch", F.lit(0).cast("long"))
+    known = done.select("relative_path", F.col("input_bytes").alias("_bytes"), "status", "next_batch")
+    joined = cut_lineage(found.join(known, "relative_path", "left"))
+    if joined.filter("_bytes <> input_bytes").limit(1).count():
+        raise ValueError(MISMATCH)
+    left = joined.filter(F.col("status").isNull() | (F.col("status") == stats.PARTIAL))
+    return left.withColumn("start_batch", F.coalesce("next_batch", F.lit(0))).drop("_bytes", "status", "next_batch")
+
+
+def next_run(spark: SparkSession, output_root: str) -> tuple[int, int | None]:
+    """The number of the next run, and the first run since the last fresh start if there is one."""
+    history = run_history(spark, output_root)
+    if history is None:
+        return 0, None
+    last = history.agg(F.max("run").alias("run"), F.max("first_run").alias("first_run")).first()
+    return last["run"] + 1, last["first_run"]
+
+
 def run_ingest(spark: SparkSession, config: IngestConfig) -> IngestResult:
-    """One ingest run over the files not done yet, then manifest and report."""
+    """One ingest run over the files and batches not done yet, then manifest and report."""
     found = cut_lineage(listing.list_parquet(spark, config.parquet_root, config.recursive))
     fingerprint = listing.discovery_fingerprint(found).first()["checksum"]
-    history, done = run_history(spark, config.output_root), file_log(spark, config.output_root)
+    done = file_log(spark, config.output_root)
     resumed = config.resume and done is not None
-    last = history.agg(F.max("run").alias("run"), F.max("first_run").alias("first_run")).first() if history is not None else None
-    run = last["run"] + 1 if last else 0
+    run, started = next_run(spark, config.output_root)
     # a fresh start leaves the earlier runs behind; they stay visible until it commits
-    first_run = last["first_run"] if resumed else run
-    waiting = found
-    if resumed:
-        changed = done.join(found, ["relative_path", "input_bytes"], "left_anti")
-        if changed.limit(1).count():
-            raise ValueError(MISMATCH)
-        waiting = found.join(done, "relative_path", "left_anti")
+    first_run = started if resumed else run
+    if resumed and done.join(found, "relative_path", "left_anti").limit(1).count():
+        raise ValueError(MISMATCH)
+    waiting = waiting_files(found, done if resumed else None)
     selected = listing.first_files(waiting, config.max_files)
     ingested = ingest_files(spark, config, selected, run, first_run, fingerprint)
     left_over = config.max_files > 0 and waiting.limit(config.max_files + 1).count() > config.max_files
@@ -201,9 +271,9 @@ def report(
     last_run = run_history(spark, out).agg(F.max_by(F.struct("*"), "run").alias("last")).select("last.*")
     discovered = found.count()
     shards = cut_lineage(
-        load_corpus(spark, out)
+        shard_batches(spark, out)
         .groupBy("shard_id")
-        .agg(F.count("*").alias("text_rows"))
+        .agg(F.sum("text_rows").alias("text_rows"))
         .withColumn("shard_name", shard_name(F.col("shard_id")))
     )
     summary = cut_lineage(
@@ -261,7 +331,7 @@ def report_lines(summary: DataFrame, shards: DataFrame, records: DataFrame) -> D
         F.concat(F.lit("- `"), "relative_path", F.lit("` reason=`"), "note", F.lit("`")),
     )
     titles = summary.sparkSession.createDataFrame(
-        [(0, "", "# Parquet Ingest Report"), (2, "", "## Output Shards"), (4, "", "## Skipped Or Bad Files")],
+        [(0, "", "# Ingest run"), (2, "", "## Shards"), (4, "", "## Skipped files")],
         "part int, place string, value string",
     )
     return titles.union(head).union(shard_part).union(skipped).orderBy("part", "place").select("value")

@@ -7,19 +7,20 @@ reviewed exports (a user turn and the assistant turn after it), ``pages`` awkwar
 
 from __future__ import annotations
 
+import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.config import TrainingConfig
 from lexmill.functions import hashing, text as tx
 from lexmill.functions.normalize import normalize, null_to_empty
 from lexmill.operators import corpus, evaluate, mix, ordering, sampling, sharding, stats, vocab_training
-from lexmill.operators.tokenizer import Tokenizer
+from lexmill.operators.subword_model import SubwordModel
 from lexmill.plans import index as corpus_index
-from lexmill.session import cut_lineage, spread_scan
-from lexmill.sources import files, parquet_text
+from lexmill.session import cut_lineage, ensure_checkpoint_dir, spread_scan
+from lexmill.sources import exports, files, parquet_text, text_lines
 
 #: Rows of a batch and bytes of a shard in the queries; the second makes segments of eight shards.
 BATCH_ROWS = 64
@@ -105,11 +106,15 @@ def training_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     cap = CAP_LINES_PER_DOCUMENT * table(spark, sf_dir, "documents").count()
-    return sampling.sample_budget(mix.training_totals(lineage(spark, sf_dir)), cap)
+    # one row, worked out once for the queries that read it in several places
+    return cut_lineage(sampling.sample_budget(mix.training_totals(lineage(spark, sf_dir)), cap))
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = sampling.within_sentence_limit(training_lines(spark, sf_dir), CONFIG.max_sentence_length)
+    """Word counts do not need to know where a line stands, so nothing is numbered for them."""
+    lines = corpus.unnumbered_texts(corpus_texts(spark, sf_dir))
+    lines = lines.unionByName(mix.mix_lines(mix.training_mix(export_texts(spark, sf_dir))).select(*lines.columns))
+    lines = sampling.within_sentence_limit(lines, CONFIG.max_sentence_length)
     return vocab_training.word_frequency(lines)
 
 
@@ -119,8 +124,8 @@ def _trained(spark: SparkSession, sf_dir: str, config: TrainingConfig) -> vocab_
     return vocab_training.train_merges(words(spark, sf_dir), config)
 
 
-def tokenizer(spark: SparkSession, sf_dir: str) -> Tokenizer:
-    return Tokenizer.from_training(spark, _trained(spark, sf_dir, CONFIG))
+def subword_model(spark: SparkSession, sf_dir: str) -> SubwordModel:
+    return SubwordModel.from_training(spark, _trained(spark, sf_dir, CONFIG))
 
 
 def chosen_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,17 +219,34 @@ def index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_rows(spark, sf_dir).drop("note")
 
 
-def _listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A listing of the corpus without the labelled documents, and one of all: the older and the newer state."""
-    documents = table(spark, sf_dir, "documents")
-    unlabelled = documents.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
+def _states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """An older and a newer state of the corpus files ``(relative_path, row_index, text, n_chars)``.
+
+    A hash of the source says what happened to its file in between: 0 removed, 1 added, 2 and 3 grown by the labelled
+    documents, else unchanged.
+    """
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_index"), F.lit(True).alias("labelled"))
+    texts = texts_of(spark, sf_dir, "documents", "doc_id", "source", "text", "n_chars").select(
+        F.concat("source", F.lit(".txt")).alias("relative_path"),
+        F.col("doc_id").alias("row_index"),
+        normalize(F.col("text")).alias("text"),
+        "n_chars",
+        (F.conv(F.substring(F.md5(F.encode("source", "UTF-8")), 1, 2), 16, 10).cast("int") % 6).alias("fate"),
+    )
+    marked = texts.join(labels, "row_index", "left")
+    grown = F.col("fate").isin(2, 3) & F.col("labelled").isNotNull()
+    states = marked.filter((F.col("fate") != 1) & ~grown), marked.filter("fate <> 0")
+    return tuple(state.select("relative_path", "row_index", "text", "n_chars") for state in states)
 
+
+def _listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     def listing(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(F.concat("source", F.lit(".txt")).alias("relative_path")).agg(
-            F.sum("n_chars").alias("file_size"), F.max("doc_id").alias("modified")
+        return rows.groupBy("relative_path").agg(
+            F.sum("n_chars").alias("file_size"), F.max("row_index").alias("modified")
         )
 
-    return listing(unlabelled), listing(documents)
+    older, newer = _states(spark, sf_dir)
+    return listing(older), listing(newer)
 
 
 def index_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,12 +258,11 @@ def index_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of unchanged files from the older index, rows of changed files scanned again."""
-    changes = index_changes(spark, sf_dir)
-    labels = table(spark, sf_dir, "labels").select("doc_id")
-    texts = corpus_texts(spark, sf_dir).filter("relative_path not like 'supplemental-%'")
-    older = texts.join(labels.withColumnRenamed("doc_id", "row_index"), "row_index", "left_anti")
-    stale = texts.join(changes.filter("change in ('changed', 'added')"), "relative_path", "left_semi")
+    """Rows of unchanged files from the older index, rows of changed and added files scanned again."""
+    changes = cut_lineage(index_changes(spark, sf_dir))
+    older, newer = _states(spark, sf_dir)
+    # one row for each file
+    stale = newer.join(F.broadcast(changes.filter("change in ('changed', 'added')")), "relative_path", "left_semi")
     return corpus_index.merge_index(
         stats.corpus_index(corpus.raw_lines(older)), changes, stats.corpus_index(corpus.raw_lines(stale))
     )
@@ -256,7 +277,7 @@ def text_column_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parquet_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = ordering.file_positions(files.list_parquet(spark, sf_dir))
-    return listed.select("relative_path", "input_bytes", "file_no", "remaining_files")
+    return listed.select("relative_path", "file_no", "remaining_files")
 
 
 def discovery_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +285,38 @@ def discovery_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.dataset_inventory(spark, sf_dir)
+    """The count of the inventory; its bytes and its checksum of sizes are left to the tests."""
+    return files.dataset_inventory(spark, sf_dir).select("file_count")
+
+
+def _fresh_folder(spark: SparkSession) -> str:
+    """A new folder beside the checkpoints, which all executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/queries-{uuid.uuid4().hex}"
+
+
+def text_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents written as text files, a folder for each source, and read back line by line."""
+    folder = _fresh_folder(spark)
+    documents = table(spark, sf_dir, "documents").select("source", F.coalesce("text", F.lit("")).alias("value"))
+    documents.write.partitionBy("source").text(folder, lineSep="\n")
+    lines = text_lines.scan_lines(spark, folder)
+    source = F.regexp_extract("relative_path", "^source=([^/]+)/", 1)
+    return lines.groupBy(source.alias("source")).agg(
+        F.count("*").alias("lines"),
+        F.count_if(normalize(F.col("raw")) != "").alias("texts"),
+        F.sum(F.octet_length("raw").cast("long")).alias("octets"),
+    )
+
+
+def jsonl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export records written as JSON Lines under their paths and read back."""
+    folder, records = _fresh_folder(spark), cut_lineage(export_records(spark, sf_dir))
+    for path in mix.EXPORT_PATHS:
+        own = records.filter(F.col("relative_path") == path).drop("relative_path", "record_hash")
+        own.write.json(f"{folder}/{path}")
+    read = exports.read_exports(spark, folder, list(mix.EXPORT_PATHS))
+    path = F.regexp_extract("relative_path", "^(.+[.]jsonl)/", 1)
+    return read.withColumn("relative_path", path).drop("record_hash")
 
 
 def ingest_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,7 +402,11 @@ def bounded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def exact_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = training_lines(spark, sf_dir)
-    return sampling.exact_sample(lines, budget(spark, sf_dir).first()["budget"])
+    return sampling.exact_sample(lines, budget(spark, sf_dir))
+
+
+def fnv_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.bounded_sample(training_lines(spark, sf_dir), budget(spark, sf_dir), "fnv")
 
 
 def sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,53 +439,66 @@ def pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first merges, over all words: a vocabulary with room for a fixed number of merged pieces."""
-    counted = words(spark, sf_dir)
-    letters = vocab_training.alphabet(counted).count()
+    return vocab_training.merge_table(spark, _merged(spark, sf_dir))
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> vocab_training.Training:
+    letters = vocab_training.alphabet(words(spark, sf_dir)).count()
     size = vocab_training.FIRST_FREE_ID + letters + MERGE_PIECES
-    trained = _trained(spark, sf_dir, TrainingConfig(vocab_size=size))
-    return vocab_training.merge_table(spark, trained)
+    return _trained(spark, sf_dir, TrainingConfig(vocab_size=size))
+
+
+@cache
+def merge_model(spark: SparkSession, sf_dir: str) -> SubwordModel:
+    """The vocabulary of :func:`bpe_merges`, small enough for SQL to train it as well."""
+    return SubwordModel.from_training(spark, _merged(spark, sf_dir))
 
 
 def vocab_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenizer(spark, sf_dir).vocab_rows()
+    return merge_model(spark, sf_dir).vocab_rows()
 
 
 def encode_decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = tokenizer(spark, sf_dir)
+    model = subword_model(spark, sf_dir)
     encoded = texts_of(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", model.encode(F.col("text")).alias("ids"))
     return encoded.select("doc_id", model.decode(F.col("ids")).alias("decoded"))
 
 
 def pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = tokenizer(spark, sf_dir)
+    model = subword_model(spark, sf_dir)
     encoded = texts_of(spark, sf_dir, "pages", "page_id", "html").select("page_id", model.encode(F.col("html")).alias("ids"))
     return encoded.select("page_id", model.decode(F.col("ids")).alias("decoded"))
 
 
 def token_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of each document summed over its tokens, looked up in the vocabulary: a join, no decode."""
-    model = tokenizer(spark, sf_dir)
+    model = subword_model(spark, sf_dir)
     piece = F.col("piece")
     plain = F.replace(piece, F.lit(tx.SPACE_MARKER), F.lit(" "))
     octets = F.when(piece.rlike("^<0x[0-9A-F]{2}>$"), 1).otherwise(F.octet_length(plain))
     widths = model.vocab.filter("not special").select("id", octets.alias("octets"))
     encoded = texts_of(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", model.encode(F.col("text")).alias("ids"))
-    tokens = encoded.select("doc_id", F.explode("ids").alias("id"))
+    tokens = encoded.select("doc_id", F.explode_outer("ids").alias("id"))
     # the width table has one row for each vocabulary entry
-    summed = tokens.join(F.broadcast(widths), "id").groupBy("doc_id")
-    # the blank before the first word is no part of the text
-    return summed.agg((F.sum("octets") - 1).alias("text_bytes"))
+    summed = tokens.join(F.broadcast(widths), "id", "left").groupBy("doc_id")
+    # the blank before the first word is no part of the text; an empty text has no token
+    return summed.agg(F.coalesce(F.sum("octets") - 1, F.lit(0)).alias("text_bytes"))
+
+
+def _joined(ids: str) -> Column:
+    return F.array_join(F.col(ids).cast("array<string>"), " ")
 
 
 def describe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = tokenizer(spark, sf_dir)
+    model = merge_model(spark, sf_dir)
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", model.encode(F.col("text")).alias("ids"))
-    return turns.select("conv_id", "turn", "ids", model.describe(F.col("ids")).alias("pieces"))
+    pieces = F.array_join(model.describe(F.col("ids")), "|").alias("pieces")
+    return turns.select("conv_id", "turn", _joined("ids").alias("ids"), pieces)
 
 
 def piece_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of the whole corpus by piece: each distinct word is encoded once."""
-    model = tokenizer(spark, sf_dir)
+    model = merge_model(spark, sf_dir)
     encoded = words(spark, sf_dir).select("freq", F.explode(model.encode_words(F.col("word"))).alias("id"))
     counts = encoded.groupBy("id").agg(F.sum("freq").alias("count"))
     # both sides have at most one row for each vocabulary entry
@@ -437,12 +506,12 @@ def piece_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inspect_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = tokenizer(spark, sf_dir)
-    return model.inspect(table(spark, sf_dir, "benchmark"), "text").drop("special_tokens")
+    inspected = merge_model(spark, sf_dir).inspect(table(spark, sf_dir, "benchmark"), "text").drop("special_tokens")
+    return inspected.withColumns({"token_ids": _joined("token_ids"), "token_pieces": F.array_join("token_pieces", "|")})
 
 
 def held_out_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.evaluate_held_out(tokenizer(spark, sf_dir), held_out(spark, sf_dir))
+    return evaluate.evaluate_held_out(merge_model(spark, sf_dir), held_out(spark, sf_dir))
 
 
 def held_out_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,6 +540,8 @@ QUERIES = {
         parquet_listing,
         discovery_fingerprint,
         raw_inventory,
+        text_file_lines,
+        jsonl_records,
         ingest_file_stats,
         ingest_totals,
         ingest_text_columns,
@@ -488,6 +559,7 @@ QUERIES = {
         sample_budget,
         bounded_sample,
         exact_sample,
+        fnv_sample,
         sample_counts,
         overlong_lines,
         word_frequency,

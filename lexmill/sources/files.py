@@ -78,3 +78,17 @@ def dataset_inventory(spark: SparkSession, root: str) -> DataFrame:
     except FileNotFoundError:
         files = spark.createDataFrame([], LISTING_SCHEMA)
     return discovery_fingerprint(files)
+
+
+#: What reading a folder that was never written, or holds no file yet, ends in.
+_NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if there is none; every other failure is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in _NOTHING_THERE:
+            return None
+        raise

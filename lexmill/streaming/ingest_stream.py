@@ -8,20 +8,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lexmill.config import IngestConfig
 from lexmill.functions.text import relative_path
-from lexmill.plans.ingest import ingest_files
+from lexmill.plans.ingest import file_log, ingest_files, next_run, run_history, waiting_files
 
 _BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream when it made the checkpoint; a checkpoint made anew has another one."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
 def start_ingest_stream(
     spark: SparkSession, config: IngestConfig, checkpoint: str, files_per_batch: int = 1000, continuous: bool = False
 ) -> StreamingQuery:
     """Ingest new Parquet files as they appear; ``continuous=False`` stops when all present files are done.
 
     The stream carries file names, not rows: each micro-batch probes its files, picks their columns and
-    reads them as the batch job does. The stream's checkpoint remembers the files, and a micro-batch
-    that is replayed after a failure overwrites its own run, so every text is written exactly once.
+    reads them as the batch job does. It takes the next run number of the output, so it goes on after batch runs and
+    other streams, and leaves out files that the output already has. A micro-batch that was committed before its offset was,
+    is known by the checkpoint's id and its number when it is replayed, and is not ingested again; one that was not is
+    overwritten. ``files_per_batch`` is the stream's bound; those of a batch run are refused, because
+    what they cut off would never come back.
     """
+    if config.max_files or config.max_batches:
+        raise ValueError("max_files and max_batches bound a batch run; bound a stream by files_per_batch")
     files = (
         spark.readStream.format("binaryFile")
         .schema(_BINARY_FILE)
@@ -39,7 +49,16 @@ def start_ingest_stream(
     )
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        ingest_files(batch.sparkSession, config, batch, batch_id, first_run=0)
+        session = batch.sparkSession
+        stream = (stream_id(session, checkpoint), batch_id)
+        history = run_history(session, config.output_root)
+        if history is not None:
+            again = (F.col("stream_id") == stream[0]) & (F.col("stream_batch") == stream[1])
+            if history.filter(again).limit(1).count():
+                return
+        run, first_run = next_run(session, config.output_root)
+        waiting = waiting_files(batch, file_log(session, config.output_root))
+        ingest_files(session, config, waiting, run, run if first_run is None else first_run, stream=stream)
 
     writer = listed.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
     return (writer if continuous else writer.trigger(availableNow=True)).start()

@@ -96,7 +96,7 @@ def test_interrupted_run_resumes_without_loss_or_duplicates(spark, dataset, tmp_
     out = tmp_path / "out"
     first = run_ingest(spark, config_of(dataset, out, max_batches=2))
     assert first.interrupted and not first.resumed
-    assert in_order(spark, out) == EXPECTED[:4]
+    assert in_order(spark, out) == EXPECTED[:2] and first.total_rows_processed == 2
     second = run_ingest(spark, config_of(dataset, out))
     assert second.completed and second.resumed
     assert (second.completed_file_count, second.skipped_file_count) == (2, 1)
@@ -116,11 +116,73 @@ def test_interrupted_run_resumes_without_loss_or_duplicates(spark, dataset, tmp_
     assert shards[0] == shards[1]
 
 
+def test_batch_bound_resumes_inside_a_file_until_all_is_there(spark, tmp_path):
+    root, out = tmp_path / "data", tmp_path / "out"
+    texts = [f"text {index}" for index in range(95)]
+    write_parquet(root / "one.parquet", "text", texts[:90], row_group_size=17)
+    write_parquet(root / "two.parquet", "text", texts[90:])
+    settings = {"batch_rows": 10, "shard_bytes": 200}
+    seen = []
+    for _ in range(4):
+        result = run_ingest(spark, IngestConfig(str(root), str(out), max_batches=3, **settings))
+        seen.append((result.total_rows_processed, result.completed))
+    assert seen == [(30, False), (60, False), (90, False), (95, True)]
+    assert in_order(spark, out) == texts
+    single = tmp_path / "single"
+    run_ingest(spark, IngestConfig(str(root), str(single), **settings))
+    places = [{tuple(row) for row in load_corpus(spark, str(o)).drop("run").collect()} for o in (out, single)]
+    assert places[0] == places[1]
+
+
+def test_a_file_that_fails_in_a_later_run_is_dropped_whole(spark, tmp_path):
+    root, out = tmp_path / "data", tmp_path / "out"
+    texts = [f"line {index} of a file that will be damaged" for index in range(4000)]
+    write_parquet(root / "torn.parquet", "text", texts, row_group_size=1000)
+    write_parquet(root / "whole.parquet", "text", ["kept"])
+    run_ingest(spark, IngestConfig(str(root), str(out), batch_rows=100, max_batches=5))
+    assert load_corpus(spark, str(out)).count() == 500
+    data = bytearray((root / "torn.parquet").read_bytes())
+    quarter = len(data) // 4
+    data[quarter : 3 * quarter] = b"\xff" * (2 * quarter)
+    (root / "torn.parquet").write_bytes(bytes(data))
+    result = run_ingest(spark, IngestConfig(str(root), str(out), batch_rows=100))
+    assert in_order(spark, out) == ["kept"] and result.total_text_rows_written == 1
+    assert (result.completed_file_count, result.skipped_file_count) == (1, 1)
+
+
+def test_reported_rows_are_the_rows_in_the_corpus_when_a_file_breaks_during_the_run(spark, tmp_path, monkeypatch):
+    """The file breaks after its footer was read and before its rows are: there is no later pass that could lose rows."""
+    root, out = tmp_path / "data", tmp_path / "out"
+    for name in ("a", "b"):
+        write_parquet(root / f"{name}.parquet", "text", [f"{name} {index}" for index in range(4000)], row_group_size=1000)
+    scan = parquet_text.scan_text
+
+    def breaking(*args, **settings):
+        data = bytearray((root / "b.parquet").read_bytes())
+        data[len(data) // 4 : len(data) // 2] = b"\xff" * (len(data) // 2 - len(data) // 4)
+        (root / "b.parquet").write_bytes(bytes(data))
+        return scan(*args, **settings)
+
+    monkeypatch.setattr(parquet_text, "scan_text", breaking)
+    result = run_ingest(spark, IngestConfig(str(root), str(out), batch_rows=100))
+    assert (result.completed_file_count, result.skipped_file_count) == (1, 1)
+    assert result.total_text_rows_written == load_corpus(spark, str(out)).count() == 4000
+
+
+def test_history_that_cannot_be_read_is_an_error(spark, dataset, tmp_path):
+    out = tmp_path / "out"
+    run_ingest(spark, config_of(dataset, out))
+    for part in (out / "run_metrics").rglob("*.parquet"):
+        part.write_bytes(b"not parquet at all, but long enough to be opened")
+    with pytest.raises(Exception):
+        run_ingest(spark, config_of(dataset, out))
+
+
 def test_uncommitted_run_is_overwritten(spark, dataset, tmp_path):
     out = tmp_path / "out"
     run_ingest(spark, config_of(dataset, out, max_files=1))
-    stray = spark.createDataFrame([("a.parquet", 0, "stray", 9)], "relative_path string, row_index long, text string, shard_id int")
-    stray.write.partitionBy("shard_id").parquet(f"{out}/corpus/run=1")
+    stray = spark.createDataFrame([("a.parquet", 0, 0, "stray")], "relative_path string, row_index long, batch_no long, text string")
+    stray.write.parquet(f"{out}/corpus/run=1")
     assert in_order(spark, out) == EXPECTED[:4]
     result = run_ingest(spark, config_of(dataset, out))
     assert result.completed and in_order(spark, out) == EXPECTED
@@ -174,6 +236,35 @@ def test_stream_ingests_each_file_once(spark, dataset, tmp_path):
     assert file_log(spark, str(out)).count() == 4
 
 
+def test_stream_refuses_bounds_that_would_lose_files(spark, dataset, tmp_path):
+    for bound in ({"max_batches": 2}, {"max_files": 1}):
+        with pytest.raises(ValueError, match="files_per_batch"):
+            start_ingest_stream(spark, config_of(dataset, tmp_path / "out", **bound), str(tmp_path / "checkpoint"))
+
+
+def test_streams_go_on_after_batch_runs_and_other_streams(spark, tmp_path):
+    root, out = tmp_path / "data", tmp_path / "out"
+    config = IngestConfig(str(root), str(out), batch_rows=50, shard_bytes=500)
+    expected = []
+
+    def add(name, count):
+        texts = [f"{name} {index:03d}" for index in range(count)]
+        write_parquet(root / f"{name}.parquet", "text", texts)
+        expected.extend(texts)
+
+    for name, count in (("a", 300), ("b", 107)):
+        add(name, count)
+        run_ingest(spark, config)
+    start_ingest_stream(spark, config, str(tmp_path / "one")).awaitTermination(180)
+    assert in_order(spark, out) == expected and len(expected) == 407
+    add("c", 100)
+    start_ingest_stream(spark, config, str(tmp_path / "one")).awaitTermination(180)
+    add("d", 5)
+    start_ingest_stream(spark, config, str(tmp_path / "two")).awaitTermination(180)
+    assert in_order(spark, out) == expected
+    assert run_ingest(spark, config).total_rows_processed == 512
+
+
 def test_text_export_holds_every_line_under_its_shard(spark, dataset, tmp_path):
     out, target = tmp_path / "out", tmp_path / "text"
     run_ingest(spark, config_of(dataset, out))

@@ -13,10 +13,10 @@ from lexmill.config import TrainingConfig, WriteOptions
 from lexmill.functions.normalize import normalize
 from lexmill.operators import corpus, mix, sampling, stats, vocab_training
 from lexmill.operators.merge_plan import merge_order
-from lexmill.operators.tokenizer import Tokenizer, segment_word
+from lexmill.operators.subword_model import SubwordModel, segment_word
 from lexmill.plans.artifacts import write_artifacts
 from lexmill.plans.index import ensure_corpus_index
-from lexmill.plans.training import build_input, select_lines, train_tokenizer
+from lexmill.plans.training import build_input, select_lines, train_vocabulary
 from lexmill.sources.text_lines import scan_lines
 
 SHARD = "Neutral prose makes the vocabulary cover plain language.\r\nThe record keeps its doubt where evidence is thin.\n"
@@ -58,7 +58,7 @@ def source(tmp_path):
 def train(spark, source, **settings):
     config = TrainingConfig(**({"vocab_size": 400} | settings))
     roots = (str(source), str(source / "dataset"), str(source / "corpus"), str(source / "index"))
-    return train_tokenizer(spark, *roots, config), config, roots
+    return train_vocabulary(spark, *roots, config), config, roots
 
 
 def test_training_run_end_to_end(spark, source, tmp_path):
@@ -78,15 +78,15 @@ def test_training_run_end_to_end(spark, source, tmp_path):
     inventory = lineage[str(source / "dataset")]
     assert (inventory["record_count"], inventory["character_count"]) == (1, len("placeholder"))
     samples = result.samples.collect()
-    assert samples[2]["category"] == "source attribution" and any(row["token_pieces"][0].startswith("[ws]") for row in samples)
+    assert samples[2]["category"] == "source" and any(row["token_pieces"][0].startswith("[ws]") for row in samples)
     assert all(row["decoded_text"] == row["normalized_text"] for row in samples)
 
     options = WriteOptions(str(tmp_path / "out"))
     write_artifacts(result, config, options, *roots[2:])
-    loaded = Tokenizer.load(spark, f"{options.manifests}/model")
-    assert loaded.pieces == result.tokenizer.pieces and loaded.vocab_size == 400
+    loaded = SubwordModel.load(spark, f"{options.manifests}/model")
+    assert loaded.pieces == result.model.pieces and loaded.vocab_size == 400
     report = "\n".join(row["value"] for row in spark.read.text(f"{options.reports}/training").collect())
-    assert "unknown token count: `0`" in report and "always fully included" in report
+    assert "unknown token count: `0`" in report and "are taken whole" in report
     vocab = spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(f"{options.manifests}/vocab")
     assert vocab.columns == ["id", "kind", "label", "piece_hex", "visible_piece"] and vocab.count() == 400
     stored = json.loads(spark.read.text(f"{options.manifests}/manifest").first()["value"])
@@ -98,7 +98,7 @@ def test_training_run_end_to_end(spark, source, tmp_path):
     # a second run is the same, and reuses the index
     again, _, _ = train(spark, source)
     assert again.index.reused_existing and not result.index.reused_existing
-    assert again.tokenizer.pieces == result.tokenizer.pieces and again.manifest.first() == manifest
+    assert again.model.pieces == result.model.pieces and again.manifest.first() == manifest
 
 
 def test_guaranteed_lines_survive_a_tiny_cap(spark, source):
@@ -188,11 +188,28 @@ def test_samples_do_not_depend_on_partitions(spark):
     by_fnv = sampling.bounded_sample(lines, budget, "fnv").count()
     assert 780 < by_fnv < 1020
     for wanted in (0, 1, 900, 2999, 3000, 5000):
-        kept = sampling.exact_sample(lines.repartition(3), wanted)
+        kept = sampling.exact_sample(lines.repartition(3), sampling.sample_budget(totals, wanted + 1))
         assert kept.filter("kind = 'parquet_corpus_text'").count() == min(wanted, 3000)
         assert kept.filter("kind <> 'parquet_corpus_text'").count() == 1
 
 
+@pytest.mark.parametrize("weight", [0, 1, 2])
+def test_both_modes_read_the_budget_by_weight(spark, weight):
+    lines = lines_frame(spark, 2000)
+    totals = spark.createDataFrame([(2000 * weight, 1)], "shard_text_count long, guaranteed_text_count long")
+    budget = sampling.sample_budget(totals, 1001)
+    shard = "kind = 'parquet_corpus_text'"
+    share = 2000 if weight == 0 else 1000 // weight
+    assert sampling.exact_sample(lines, budget).filter(shard).count() == share
+    assert abs(sampling.bounded_sample(lines, budget).filter(shard).count() - share) <= (0 if weight == 0 else 100)
+
+
+def test_hash_and_mode_have_to_go_together():
+    for bad in ({"sample_hash": "crc"}, {"sample_hash": "fnv", "sample_mode": "exact"}):
+        with pytest.raises(ValueError):
+            TrainingConfig(**bad)
+
+
 def test_weights_split_routing_and_repetition(spark):
     rows = [("exports/base_training/base_training.jsonl", "Train", "in", "out", "e1", 1)]
     rows += [("exports/contextualization/contextualization.jsonl", split, "in", "out", "e2", 2) for split in ("test", "Test")]
@@ -255,38 +272,38 @@ def test_batched_merges_equal_one_at_a_time(spark, seed, candidates, max_length)
 
 
 @pytest.fixture(scope="module")
-def small_tokenizer(spark):
+def small_model(spark):
     text = "the then there this that thing other another the the of often on one once\n" * 3
     lines = spark.createDataFrame([(line, 1) for line in text.splitlines()], "text string, weight int")
     words = vocab_training.word_frequency(lines)
     trained = vocab_training.train_merges(words, TrainingConfig(vocab_size=300))
-    return Tokenizer.from_training(spark, trained)
+    return SubwordModel.from_training(spark, trained)
 
 
-def test_round_trip_of_any_text(spark, small_tokenizer):
+def test_round_trip_of_any_text(spark, small_model):
     texts = ["the other", "", None, "  ", "a\nb\n\nc", "<0x41> <unk>", "▁ ▁x x▁", "é😀 漢字", "the—then …", "\x00\x1f"]
     draw = random.Random(5)
     alphabet = ["the", " ", "\n", "o", "▁", "é", "😀", "<0x0A>", "﻿", "\t", "\x7f", "x"]
     texts += ["".join(draw.choice(alphabet) for _ in range(draw.randint(1, 20))) for _ in range(500)]
     frame = spark.createDataFrame([(text,) for text in texts], "t string").select(
-        normalize(F.col("t")).alias("n"), small_tokenizer.encode(F.col("t")).alias("ids")
+        normalize(F.col("t")).alias("n"), small_model.encode(F.col("t")).alias("ids")
     )
-    checked = frame.withColumn("d", small_tokenizer.decode(F.col("ids"))).withColumn("unk", small_tokenizer.unknown_count(F.col("ids")))
+    checked = frame.withColumn("d", small_model.decode(F.col("ids"))).withColumn("unk", small_model.unknown_count(F.col("ids")))
     for row in checked.collect():
         assert row["d"] == row["n"] and row["unk"] == 0 and (row["ids"] != []) == (row["n"] != "")
 
 
-def test_describe_and_tables(spark, small_tokenizer):
+def test_describe_and_tables(spark, small_model):
     ids = spark.createDataFrame([([0, 3, 4 + 0x41],)], "ids array<int>")
-    assert ids.select(small_tokenizer.describe(F.col("ids"))).first()[0] == ["<unk>", "<pad>", "<0x41>"]
-    assert ids.select(small_tokenizer.byte_fallback_count(F.col("ids"))).first()[0] == 1
-    for bad in (-1, small_tokenizer.vocab_size):
+    assert ids.select(small_model.describe(F.col("ids"))).first()[0] == ["<unk>", "<pad>", "<0x41>"]
+    assert ids.select(small_model.byte_fallback_count(F.col("ids"))).first()[0] == 1
+    for bad in (-1, small_model.vocab_size):
         with pytest.raises(Exception, match="unknown token id"):
-            spark.createDataFrame([([bad],)], "ids array<int>").select(small_tokenizer.describe(F.col("ids"))).collect()
-    assert small_tokenizer.special_map().first()[0] == {"<unk>": 0, "<bos>": 1, "<eos>": 2, "<pad>": 3}
-    sizes = vocab_training.vocab_sizes(small_tokenizer.vocab).first()
-    assert (sizes["vocab_size"], sizes["special_count"]) == (small_tokenizer.vocab_size, 4)
-    rows = small_tokenizer.vocab_rows().collect()
+            spark.createDataFrame([([bad],)], "ids array<int>").select(small_model.describe(F.col("ids"))).collect()
+    assert small_model.special_map().first()[0] == {"<unk>": 0, "<bos>": 1, "<eos>": 2, "<pad>": 3}
+    sizes = vocab_training.vocab_sizes(small_model.vocab).first()
+    assert (sizes["vocab_size"], sizes["special_count"]) == (small_model.vocab_size, 4)
+    rows = small_model.vocab_rows().collect()
     assert [row["id"] for row in rows] == list(range(len(rows)))
     assert (rows[0]["kind"], rows[0]["visible_piece"], rows[4]["label"]) == ("special", "<unk>", "piece_4")
     assert any(row["visible_piece"].startswith("[ws]th") for row in rows)
