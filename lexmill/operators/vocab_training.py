@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lexmill.config import SPECIAL_TOKENS, TrainingConfig
 from lexmill.operators.merge_plan import RoundPlan
 from lexmill.functions.text import SPACE_MARKER, encode_hex, visible
-from lexmill.session import cut_lineage
+from lexmill.session import StepTables
 
 MERGE_SCHEMA = "rank int, left string, right string, piece string, count long"
 VOCAB_SCHEMA = "id int, special boolean, label string, piece string"
@@ -169,8 +169,9 @@ class Training:
 def train_merges(words: DataFrame, config: TrainingConfig) -> Training:
     """Learn merges from ``(word, freq)`` until the vocabulary is full or no pair is left.
 
-    The driver sees the leading pairs of a round and their contexts, never words. Each round ends in
-    the checkpoint folder, so plans stay short and a lost executor costs one round at most.
+    The driver sees the leading pairs of a round and their contexts, never words. Each round's tables are
+    written beside the checkpoints and those of the round before are deleted, so plans stay short, a lost executor
+    costs one round at most, and the disk in use does not grow with the rounds.
     """
     spark = words.sparkSession
     words = words.persist(StorageLevel.MEMORY_AND_DISK)
@@ -188,8 +189,9 @@ def train_merges(words: DataFrame, config: TrainingConfig) -> Training:
     known = set(characters)
     # a small table of words is much work to expand, so it keeps all its partitions
     spread = words.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
-    symbols = cut_lineage(split_symbols(spread))
-    contexts = cut_lineage(context_counts(symbols))
+    steps = StepTables(spark)
+    symbols = steps.write(split_symbols(spread))
+    contexts = steps.write(context_counts(symbols))
     words.unpersist()
     merges: list[tuple] = []
     rounds = 0
@@ -207,9 +209,11 @@ def train_merges(words: DataFrame, config: TrainingConfig) -> Training:
         if len(known) >= capacity:
             break
         rounds += 1
-        merged = cut_lineage(merge_words(symbols, [pair[:2] for pair in accepted]))
-        contexts = cut_lineage(update_contexts(contexts, merged))
+        merged = steps.write(merge_words(symbols, [pair[:2] for pair in accepted]))
+        contexts = steps.write(update_contexts(contexts, merged))
+        steps.keep(merged, contexts)
         symbols = open_words(merged)
+    steps.clear()
     return Training(merges, characters, rounds)
 
 

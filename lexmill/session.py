@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ def local_session(app_name: str = "lexmill", cores: str = "*", shuffle_partition
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -62,6 +64,46 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class StepTables:
+    """The tables of an iteration in a folder beside the checkpoints, deleted as soon as no later step reads them.
+
+    A step survives a lost executor as a checkpoint does, and the disk in use does not grow with the number of steps.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._root = f"{ensure_checkpoint_dir(spark)}/steps-{uuid.uuid4().hex}"
+        self._count = 0
+        self._tables: list[tuple[DataFrame, str]] = []
+
+    def write(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` as the next step's table and return it as read from there."""
+        path = f"{self._root}/{self._count}"
+        self._count += 1
+        df.write.parquet(path)
+        table = self._spark.read.schema(df.schema).parquet(path)
+        self._tables.append((table, path))
+        return table
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Delete every table but these."""
+        left = []
+        for table, path in self._tables:
+            if any(table is kept for kept in tables):
+                left.append((table, path))
+            else:
+                self._delete(path)
+        self._tables = left
+
+    def clear(self) -> None:
+        self.keep()
+        self._delete(self._root)
+
+    def _delete(self, path: str) -> None:
+        place = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def broadcast_if_small(df: DataFrame, bytes_per_row: int, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast when ``rows * bytes_per_row`` is under the limit, else leave the join to Spark.
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 import random
 from collections import Counter
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
+from lexmill import session
 from lexmill.config import TrainingConfig, WriteOptions
 from lexmill.functions.normalize import normalize
 from lexmill.operators import corpus, mix, sampling, stats, vocab_training
@@ -21,7 +24,7 @@ from lexmill.sources.text_lines import scan_lines
 
 SHARD = "Neutral prose makes the vocabulary cover plain language.\r\nThe record keeps its doubt where evidence is thin.\n"
 SUPPLEMENT = "Spoken phrasing stays concise, literal and calm.\n"
-SENTENCE = "The available inputs do not provide enough evidence, so the record keeps its doubt."
+SENTENCE = "Too little was measured to tell, and the answer stays open."
 
 
 def record(example_id, split, asked, answered):
@@ -193,6 +196,18 @@ def test_samples_do_not_depend_on_partitions(spark):
         assert kept.filter("kind <> 'parquet_corpus_text'").count() == 1
 
 
+def test_step_tables_are_deleted_once_they_are_replaced(spark):
+    steps = session.StepTables(spark)
+    first = steps.write(spark.range(10).toDF("n"))
+    second = steps.write(first.selectExpr("n + 1 AS n"))
+    root = Path(urlparse(steps._root).path)
+    steps.keep(second)
+    assert [path.name for path in root.iterdir() if not path.name.startswith(".")] == ["1"]
+    assert second.agg({"n": "sum"}).first()[0] == 55
+    steps.clear()
+    assert not root.exists()
+
+
 @pytest.mark.parametrize("weight", [0, 1, 2])
 def test_both_modes_read_the_budget_by_weight(spark, weight):
     lines = lines_frame(spark, 2000)
