@@ -33,11 +33,6 @@ def batch_sizes(texts: DataFrame, batch_rows: int) -> DataFrame:
     )
 
 
-def first_batches(batches: DataFrame, count: int) -> DataFrame:
-    """The first ``count`` batches of a run in (path, batch) order; 0 keeps all of them."""
-    return batches.orderBy("relative_path", "batch_no").limit(count) if count > 0 else batches
-
-
 def batch_offsets(batches: DataFrame) -> DataFrame:
     """Add ``start_bytes``: the text bytes of all batches before this one in (path, batch) order."""
     located = running_total(

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.config import SPECIAL_TOKENS, MODEL_TYPE
+from lexmill.config import MODEL_TYPE, SPECIAL_TOKENS
 from lexmill.functions.normalize import NORMALIZER_NAME, normalize
 from lexmill.functions.text import SPACE_MARKER, visible
 from lexmill.operators.vocab_training import BYTE_PIECES, merge_table, special_ids, vocab_rows, vocab_table
@@ -20,6 +20,8 @@ UNKNOWN_SURFACE = " ⁇ "
 
 #: Distinct words one Python worker remembers before it starts over.
 WORD_CACHE_SIZE = 200_000
+#: Characters of the longest word that is remembered; text without blanks makes words of any length.
+WORD_CACHE_LENGTH = 256
 
 
 def segment_word(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
@@ -136,9 +138,10 @@ class SubwordModel:
                             found.extend(first_byte + byte for byte in symbol.encode())
                         else:
                             found.append(token)
-                    if len(cache) >= WORD_CACHE_SIZE:
-                        cache.clear()
-                    cache[word] = found
+                    if len(word) <= WORD_CACHE_LENGTH:
+                        if len(cache) >= WORD_CACHE_SIZE:
+                            cache.clear()
+                        cache[word] = found
                 return found
 
             for texts in batches:

@@ -19,6 +19,7 @@ from lexmill.functions.normalize import normalize, null_to_empty
 from lexmill.operators import corpus, evaluate, mix, ordering, sampling, sharding, stats, vocab_training
 from lexmill.operators.subword_model import SubwordModel
 from lexmill.plans import index as corpus_index
+from lexmill.plans import ingest
 from lexmill.session import cut_lineage, ensure_checkpoint_dir, spread_scan
 from lexmill.sources import exports, files, parquet_text, text_lines
 
@@ -354,6 +355,14 @@ def batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.batch_sizes(ingest_texts(spark, sf_dir), BATCH_ROWS)
 
 
+def bounded_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run bounded to half of all batches takes of each file: from its first batch to the end or the bound."""
+    chosen = chosen_columns(spark, sf_dir).withColumn("start_batch", F.lit(0).cast("long"))
+    total = ingest.within_batches(chosen, BATCH_ROWS, 0).agg(F.sum("end_batch")).first()[0]
+    taken = ingest.within_batches(chosen, BATCH_ROWS, max(1, total // 2))
+    return taken.filter("note is null").select("relative_path", "file_batches", "end_batch")
+
+
 def shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(ingest_texts(spark, sf_dir)).drop("start_bytes")
 
@@ -548,6 +557,7 @@ QUERIES = {
         ingest_manifest,
         status_dedup,
         batch_sizes,
+        bounded_run,
         shard_assignment,
         shard_totals,
         shard_lines,
