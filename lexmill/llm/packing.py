@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,10 +38,14 @@ from lexmill.llm.common import SLICE_ROWS, checkpointed, keyed_texts
 
 VOCABULARY_PATH = public_tokenizers.path("word_bpe_49k.json")
 CLOSING_ID = 0
-MEMO_ENTRIES = 200_000
+#: Entries of a generation of a worker's two memos, of runs without white space and of words: about 180 MB, or 80 MB.
+LARGE_MEMOS = (300_000, 150_000)
+SMALL_MEMOS = (100_000, 100_000)
 
 #: Python splits at these too, the vocabulary's normaliser does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+#: The vocabulary's pattern for lower-case ASCII.
+_ASCII_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _SPACES = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 _WHITE = re.compile(f"[{''.join(map(chr, _SPACES))}]+")
 
@@ -72,15 +77,23 @@ class Capacity:
 class WordVocabulary:
     """Ids of texts by the public word vocabulary. It drops white space, so texts are encoded word by word, with a memo."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, memos: tuple[int, int] = LARGE_MEMOS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self._model = Tokenizer.from_file(path)
-        self._memo = Memo(self._encode_word, MEMO_ENTRIES)
+        self._memo = Memo(self._encode_chunk, memos[0])
+        self._words = Memo(self._encode_word, memos[1])
+
+    def _encode_chunk(self, chunk: str) -> bytes:
+        """A run of ASCII is cut where the vocabulary's own pattern cuts it, since its words repeat more than it does."""
+        if not chunk.isascii() or "<|" in chunk:
+            return self._encode_word(chunk)
+        return b"".join(map(self._words.__getitem__, _ASCII_WORDS.findall(chunk.lower())))
 
     def _encode_word(self, word: str) -> bytes:
-        return np.array(self._model.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self._model.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -89,8 +102,8 @@ class WordVocabulary:
 
 
 @cache
-def vocabulary(path: str) -> WordVocabulary:
-    return WordVocabulary(path)
+def vocabulary(path: str, memos: tuple[int, int] = LARGE_MEMOS) -> WordVocabulary:
+    return WordVocabulary(path, memos)
 
 
 def pieces(
@@ -99,6 +112,7 @@ def pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     path: str = VOCABULARY_PATH,
+    memos: tuple[int, int] = LARGE_MEMOS,
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, part, place)``; ``place`` counts equal lengths within the task ``part``."""
     texts = keyed_texts(df, id_col, text_col)
@@ -116,7 +130,7 @@ def pieces(
     step = capacity.longest
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part = vocabulary(path), TaskContext.get().partitionId()
+        coder, part = vocabulary(path, memos), TaskContext.get().partitionId()
         seen = np.zeros(step + 1, np.int64)
         closing = CLOSING_ID.to_bytes(4, "little")
         for batch in batches:
@@ -218,6 +232,11 @@ def place(cut: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, capacity: Capacity = Capacity(), path: str = VOCABULARY_PATH) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    capacity: Capacity = Capacity(),
+    path: str = VOCABULARY_PATH,
+    memos: tuple[int, int] = LARGE_MEMOS,
+) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` for every piece of every document."""
-    return place(pieces(docs, capacity, path=path), capacity)
+    return place(pieces(docs, capacity, path=path, memos=memos), capacity)
