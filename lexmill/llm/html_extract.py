@@ -7,7 +7,8 @@ its neighbours; lines over a threshold form clusters. The cluster with most text
 ``article`` or ``main`` around the seed's longest line, else the smallest element that holds most of the clusters' text; all its lines
 that are no furniture are kept, so that short paragraphs between long ones are not lost.
 
-Edge cases: a null page, an empty one, or one without text gives an empty text; unclosed and misnested tags are accepted, a page
+Edge cases: a null page, an empty one, or one without text gives an empty text; unclosed and misnested tags are accepted, as are left out
+ones around head and body, a page
 cut off anywhere gives what came before; repeated rows are extracted each on its own; an empty table gives an empty table;
 other columns are not read; nothing is dropped or capped by length.
 """
@@ -40,6 +41,8 @@ BLOCKS = frozenset(
     " h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead"
     " tr ul".split()
 )
+#: Elements that a head may hold; any other, or text, ends a head that is still open.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 #: Tags that an opening block ends when they are still open; and what a tag of the same kind ends.
 ENDED_BY_BLOCK = frozenset(["p"])
 ENDED_BY_SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",), "option": ("select",)}
@@ -109,6 +112,8 @@ class _Lines(HTMLParser):
         self._tags += 1
         if tag == "br":
             self._parts.append("\n")
+        if tag == "body" or self.top.tag == "head" and tag not in IN_HEAD:
+            self._close_head()
         if tag in BLOCKS:
             self.end_line()
             self._close_implied(tag)
@@ -121,6 +126,12 @@ class _Lines(HTMLParser):
     def handle_startendtag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attributes)  # the slash means nothing in HTML
 
+    def _close_head(self) -> None:
+        for element in _around(self.top):
+            if element.tag == "head" and element.parent:
+                self.top = element.parent
+                return
+
     def _close_implied(self, tag: str) -> None:
         limits = ENDED_BY_SAME.get(tag, ())
         element = self.top
@@ -148,6 +159,8 @@ class _Lines(HTMLParser):
             self.top = element.parent
 
     def handle_data(self, data: str) -> None:
+        if self.top.tag == "head" and data.strip():
+            self._close_head()
         if self.top.hidden:
             return
         if not self._visible and data.strip():

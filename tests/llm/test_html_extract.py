@@ -52,3 +52,18 @@ def test_rows(spark):
     assert len(got) == 4 and by_id[2].text == "" and by_id[2].n_chars == 0 and by_id[None].text == "x"
     assert by_id[1].n_chars == len((LONG * 3000).strip())
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        (f"<html><head><title>t</title><meta charset=x><body><article><p>{LONG}</p></article></body></html>", LONG.strip()),
+        (f"<html><head><title>t</title></head><article><p>{LONG}</p></article></html>", LONG.strip()),
+        (f"<head><title>t</title><link href=x><p>{LONG}<p>End.", f"{LONG.strip()} End."),
+        (f"<head><title>t</title><style>p{{}}</style> {LONG}", LONG.strip()),
+        (f"<head><noscript><img src=x><p>no</noscript><script>s</script><body><p>{LONG}", LONG.strip()),
+        (f"<head><title>t</title><noscript><p>no<body><p>{LONG}", LONG.strip()),
+    ],
+)
+def test_pages_that_leave_out_tags_around_head_and_body(page, expected):
+    assert main_text(page) == expected
