@@ -58,9 +58,10 @@ EXCEPTIONS = (
 _FOLD = str.maketrans(HOMOGLYPHS)
 _SUBSTITUTE = str.maketrans(SUBSTITUTIONS)
 #: A word that mixes letters with stand-ins between letters, or before a letter.
-_MASKED = re.compile(r"[^\W_]*(?:[013457@$!]+[^\W\d_]+)+[013457@$!]*", re.UNICODE)
+_SIGNS = f"[{re.escape(''.join(SUBSTITUTIONS))}]"
+_MASKED = re.compile(rf"[^\W_]*(?:{_SIGNS}+[^\W\d_]+)+{_SIGNS}*", re.UNICODE)
 #: Whether folding has anything to map: cheap searches, as most texts have neither.
-_STAND_IN = re.compile(r"[013457@$!][^\W\d_]")
+_STAND_IN = re.compile(rf"{_SIGNS}[^\W\d_]")
 _FOREIGN = re.compile(f"[{''.join(HOMOGLYPHS)}]")
 _OTHERS = re.compile(r"[^\w ]+|[\d_]+")
 

@@ -38,6 +38,11 @@ def test_folding():
     assert tox.fold("") == "  "
 
 
+def test_each_substitution_is_folded():
+    for stand_in, letter in tox.SUBSTITUTIONS.items():
+        assert tox.fold(f"dis{stand_in}usting {stand_in}ad 2{stand_in}") == f" dis{letter}usting {letter}ad "
+
+
 def test_automaton_equals_brute_force():
     model = tox.ToxicityModel({" idiot ": 2.0, " idio": 1.0, " trash ": 1.5, " scu": 0.5}, -3.0, 1.0)
     draw = random.Random(1)
