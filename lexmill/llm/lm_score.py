@@ -1,13 +1,14 @@
 """Masked pseudo-likelihood of texts under a bidirectional window network, trained in numpy on all of the corpus.
 
 A text is its lower-case words between white space. The vocabulary is the most frequent words of the corpus; every other word is
-one of a fixed number of hash buckets. The network predicts a masked token from the two tokens on each side: the
+one of a fixed number of hash buckets, and has its share of the bucket by its count in the corpus. The network predicts a masked token from the two tokens on each side: the
 embeddings of the four places are summed and squashed, then a softmax over groups of tokens and one over the tokens of the group
 give the token's probability. A text's score is the sum of the log-probabilities of its tokens, each predicted from both sides.
 
 Training masks a share of the positions of every text in each round. Tasks train on their own rows from a common model,
 and their changes are averaged row by row, weighted by how often a task met the row, in a grouped sum. What comes back to the driver is
-one model of fixed size, whatever the number of rows; what is counted and summed grows with the corpus.
+one model of fixed size, whatever the number of rows; the counts of all words stay a table, which grows with the corpus. A word that the
+corpus does not have, or has once, counts one; a bucket keeps one count for the words that the corpus does not have.
 
 Edge cases: a null or blank text has no tokens, a ``log_prob`` of 0 and a null mean; the longest text is scored whole, in
 blocks; repeated rows are scored each on its own and count as often as they occur; an empty table gives an empty table; other
@@ -89,10 +90,18 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class WindowModel:
-    """``table`` holds all weights, a row of HIDDEN weights and a bias for each of ROWS."""
+    """``table`` holds all weights, a row of HIDDEN weights and a bias for each of ROWS.
+
+    ``bucket_counts`` are the tokens of each bucket; ``rare(word, n)`` has its words that the corpus has more than once, on the executors.
+    """
 
     words: list[str]
     table: np.ndarray
+    bucket_counts: np.ndarray
+    rare: DataFrame
+
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in self.__dict__.items() if name != "rare"}
 
     def ids(self) -> Ids:
         return Ids({word: number for number, word in enumerate(self.words)})
@@ -164,7 +173,7 @@ class Trainer:
 
     def __init__(self, start: WindowModel) -> None:
         self.start = start.table
-        self.model = WindowModel(start.words, start.table.copy())
+        self.model = WindowModel(start.words, start.table.copy(), start.bucket_counts, None)
         self.squares = np.full(ROWS, 1e-6, np.float32)
         self.met = np.zeros(ROWS, np.float32)
 
@@ -238,7 +247,7 @@ def _round(texts: DataFrame, model: WindowModel, number: int) -> WindowModel:
     table = model.table.copy()
     rows = summed["row"].to_numpy(np.int64)
     table[rows] += (summed[_CHANGE].to_numpy(np.float64) / summed[["weight"]].to_numpy(np.float64)).astype(np.float32)
-    return WindowModel(model.words, table)
+    return WindowModel(model.words, table, model.bucket_counts, model.rare)
 
 
 def _learn(trainer: Trainer, sequences: list[list[int]], draw: np.random.Generator) -> None:
@@ -259,14 +268,15 @@ def fit(df: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> WindowMo
     share[: len(top)] += [row["n"] for row in top]
     bucket = F.pmod(F.crc32(F.encode("word", "UTF-8")), F.lit(BUCKETS)).cast("int").alias("bucket")
     listed = F.broadcast(counts.sparkSession.createDataFrame([(word,) for word in frequent], "word string"))
-    for row in counts.join(listed, "word", "left_anti").groupBy(bucket).agg(F.sum("n").alias("n")).collect():
+    rare = counts.join(listed, "word", "left_anti")
+    for row in rare.groupBy(bucket).agg(F.sum("n").alias("n")).collect():
         share[WORDS + row["bucket"]] += row["n"]
     table = np.zeros((ROWS, HIDDEN + 1), np.float32)
     table[:, :HIDDEN] = np.random.default_rng(11).normal(0, 0.1, (ROWS, HIDDEN))
     by_group = share.reshape(GROUPS, GROUP_SIZE)
     table[_GROUP:_BIAS, HIDDEN] = np.log(by_group.sum(1) / share.sum())
     table[_OUT:_GROUP, HIDDEN] = np.log(by_group / by_group.sum(1, keepdims=True)).ravel()
-    model = WindowModel(frequent, table)
+    model = WindowModel(frequent, table, share[WORDS:] - 1, rare.filter("n > 1"))
     for number in range(rounds if top else 0):
         model = _round(texts, model, number)
     return model
@@ -274,25 +284,39 @@ def fit(df: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> WindowMo
 
 def score(df: DataFrame, model: WindowModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_tokens, log_prob, mean_log_prob)`` of each whole text."""
-    texts = keyed_texts(df, id_col, text_col)
+    texts = keyed_texts(df, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     schema = pa.schema(
         [
+            ("row", pa.int64()),
             ("doc_id", to_arrow_type(texts.schema["doc_id"].dataType)),
             ("n_tokens", pa.int64()),
             ("log_prob", pa.float64()),
-            ("mean_log_prob", pa.float64()),
+            ("word", pa.string()),
+            ("times", pa.int64()),
         ]
     )
-    ids = model.ids()
-
-    def work(doc_ids: list, texts: list[str]) -> list[list]:
-        flat, positions, owner = _windows([[ids[word] for word in words_of(text)] for text in texts])
-        sums = np.bincount(owner, log_probabilities(model, flat, positions), minlength=len(texts))
-        counts = np.bincount(owner, minlength=len(texts))
-        means = [total / count if count else None for total, count in zip(sums.tolist(), counts.tolist())]
-        return [doc_ids, counts.tolist(), sums.tolist(), means]
-
-    return map_slices(texts, work, schema)
+    ids, shares = model.ids(), -np.log1p(model.bucket_counts)
+    frequent = set(model.words)
+
+    def work(rows: list[int], doc_ids: list, texts: list[str]) -> list[list]:
+        """A row for each text, with a word that no text can have, and one for each of its words outside the vocabulary."""
+        words = [words_of(text) for text in texts]
+        flat, positions, owner = _windows([[ids[word] for word in part] for part in words])
+        logs, tokens = log_probabilities(model, flat, positions), flat[positions]
+        logs += np.where(tokens >= WORDS, shares[np.maximum(tokens - WORDS, 0)], 0.0)
+        sums = np.bincount(owner, logs, minlength=len(texts)).tolist()
+        found = list(zip(rows, doc_ids, map(len, words), sums, (f" {row}" for row in rows), [0] * len(rows)))
+        for row, part in zip(rows, words):
+            rare = Counter(word for word in part if word not in frequent)
+            found += [(row, None, None, None, word, times) for word, times in rare.items()]
+        return [list(column) for column in zip(*found)]
+
+    met = map_slices(texts, work, schema).join(model.rare, "word", "left")
+    own = F.coalesce("log_prob", F.lit(0.0)) + F.coalesce(F.col("times") * F.log("n"), F.lit(0.0))
+    firsts = [F.max(name).alias(name) for name in ("doc_id", "n_tokens")]
+    summed = met.groupBy("row").agg(*firsts, F.sum(own).alias("log_prob"))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).alias("mean_log_prob")
+    return summed.select("doc_id", "n_tokens", "log_prob", mean)
 
 
 def fit_and_score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

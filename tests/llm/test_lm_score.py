@@ -82,3 +82,19 @@ def test_empty_corpus(spark):
     frame = spark.createDataFrame([(1, None)], "doc_id long, text string")
     assert [tuple(r) for r in lm.fit_and_score(frame).collect()] == [(1, 0, 0.0, None)]
     assert lm.fit_and_score(frame.limit(0)).collect() == []
+
+
+def test_each_rare_word_has_its_own_probability(spark):
+    frequent = " ".join(f"w{n}" for n in range(lm.WORDS))
+    rare = {f"rare{n}": 1 + n % 4 for n in range(3000)}
+    texts = [frequent] * 6 + [" ".join(word for word, n in rare.items() for _ in range(n))]
+    model = lm.fit(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), rounds=0)
+    buckets: dict = {}
+    for word, n in rare.items():
+        buckets.setdefault(model.ids()[word], []).append(n)
+    asked = ["w1 rare2 w2 rare3 rare3", "rare0", "never w1 rare7", "w1 w2"]
+    got = {r.doc_id: r.log_prob for r in lm.score(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()}
+    for number, text in enumerate(asked):
+        others = [w for w in text.split() if not w.startswith("w")]
+        shares = sum(np.log(rare.get(w, 1) / (sum(buckets.get(model.ids()[w], [])) + 1)) for w in others)
+        assert got[number] == pytest.approx(brute_log_prob(model, text) + shares, rel=1e-4)
