@@ -5,7 +5,7 @@ one of a fixed number of hash buckets, and has its share of the bucket by its co
 embeddings of the four places are summed and squashed, then a softmax over groups of tokens and one over the tokens of the group
 give the token's probability. A text's score is the sum of the log-probabilities of its tokens, each predicted from both sides.
 
-Training masks a share of the positions of every text in each round. Tasks train on their own rows from a common model,
+Each round masks a part of the positions of every text, by a hash of text and position; the rounds together cover every position once. Tasks train on their own rows from a common model,
 and their changes are averaged row by row, weighted by how often a task met the row, in a grouped sum. What comes back to the driver is
 one model of fixed size, whatever the number of rows; the counts of all words stay a table, which grows with the corpus. A word that the
 corpus does not have, or has once, counts one; a bucket keeps one count for the words that the corpus does not have.
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 
 from lexmill.llm.common import checkpointed, keyed_texts, map_slices
+from lexmill.llm.peeling import mix64
 
 #: Tokens: frequent words, then hash buckets; the softmax has GROUPS groups of GROUP_SIZE tokens.
 WORDS, BUCKETS, GROUP_SIZE = 3072, 1024, 64
@@ -40,8 +41,8 @@ PAD = TOKENS
 #: Places of the window relative to the token, and the width of the hidden layer.
 PLACES = (-2, -1, 1, 2)
 HIDDEN = 24
-#: Rounds over the corpus, the share of positions that each one masks, and the training step.
-ROUNDS, MASK_SHARE = 2, 0.08
+#: Rounds over the corpus, each one for its part of the positions, and the training step.
+ROUNDS = 2
 STEP, BATCH = 0.08, 4096
 #: Positions that are scored at once; distinct words that a task counts before it sends them on.
 BLOCK, COUNTED_WORDS = 1 << 15, 400_000
@@ -220,7 +221,13 @@ class Trainer:
 _CHANGE = [f"c{number}" for number in range(HIDDEN + 1)]
 
 
-def _round(texts: DataFrame, model: WindowModel, number: int) -> WindowModel:
+def in_round(text: str, n_tokens: int, number: int, rounds: int) -> np.ndarray:
+    """Whether round ``number`` masks each position of the text; every position is in one of the rounds."""
+    mixed = mix64(np.arange(n_tokens, dtype=np.uint64), zlib.crc32(text.encode()))
+    return mixed % np.uint64(rounds) == np.uint64(number)
+
+
+def _round(texts: DataFrame, model: WindowModel, number: int, rounds: int) -> WindowModel:
     """One round over all texts; returns the averaged model."""
     schema = pa.schema([("row", pa.int32()), ("weight", pa.float32()), *[(name, pa.float32()) for name in _CHANGE]])
 
@@ -228,16 +235,20 @@ def _round(texts: DataFrame, model: WindowModel, number: int) -> WindowModel:
         trainer, ids = Trainer(model), model.ids()
         draw = np.random.default_rng([number, TaskContext.get().partitionId()])
         waiting: list[list[int]] = []
+        parts: list[np.ndarray] = []
         size = 0
         for batch in batches:
             for text in batch.column(0):
-                sequence = [ids[word] for word in words_of(text.as_py())]
+                text = text.as_py()
+                sequence = [ids[word] for word in words_of(text)]
                 waiting.append(sequence)
+                parts.append(in_round(text, len(sequence), number, rounds))
                 size += len(sequence)
-                if size * MASK_SHARE >= BATCH:
-                    _learn(trainer, waiting, draw)
-                    waiting, size = [], 0
-        _learn(trainer, waiting, draw)
+                if size >= BATCH * rounds:
+                    _learn(trainer, waiting, parts, draw)
+                    waiting, parts, size = [], [], 0
+        if waiting:
+            _learn(trainer, waiting, parts, draw)
         rows, weights, changes = trainer.changes()
         columns = [rows.astype(np.int32), weights, *np.ascontiguousarray(changes.T)]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -250,9 +261,9 @@ def _round(texts: DataFrame, model: WindowModel, number: int) -> WindowModel:
     return WindowModel(model.words, table, model.bucket_counts, model.rare)
 
 
-def _learn(trainer: Trainer, sequences: list[list[int]], draw: np.random.Generator) -> None:
+def _learn(trainer: Trainer, sequences: list[list[int]], parts: list[np.ndarray], draw: np.random.Generator) -> None:
     flat, positions, _ = _windows(sequences)
-    masked = positions[draw.random(len(positions)) < MASK_SHARE]
+    masked = positions[np.concatenate(parts)]
     draw.shuffle(masked)
     for start in range(0, len(masked), BATCH):
         trainer.step(flat, masked[start : start + BATCH])
@@ -278,7 +289,7 @@ def fit(df: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> WindowMo
     table[_OUT:_GROUP, HIDDEN] = np.log(by_group / by_group.sum(1, keepdims=True)).ravel()
     model = WindowModel(frequent, table, share[WORDS:] - 1, rare.filter("n > 1"))
     for number in range(rounds if top else 0):
-        model = _round(texts, model, number)
+        model = _round(texts, model, number, rounds)
     return model
 
 

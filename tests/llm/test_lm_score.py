@@ -98,3 +98,18 @@ def test_each_rare_word_has_its_own_probability(spark):
         others = [w for w in text.split() if not w.startswith("w")]
         shares = sum(np.log(rare.get(w, 1) / (sum(buckets.get(model.ids()[w], [])) + 1)) for w in others)
         assert got[number] == pytest.approx(brute_log_prob(model, text) + shares, rel=1e-4)
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_the_rounds_cover_every_position_once(spark, monkeypatch, corpus, rounds):
+    masks = [lm.in_round(corpus[0], 500, number, rounds) for number in range(rounds)]
+    assert (np.sum(masks, 0) == 1).all() and all(mask.sum() > 500 / rounds / 2 for mask in masks)
+    met, step = [], lm.Trainer.step
+    monkeypatch.setattr(lm.Trainer, "step", lambda self, flat, at: met.append(len(at)) or step(self, flat, at))
+    model = lm.fit(spark.createDataFrame([(t,) for t in corpus], "text string"), rounds=0)
+    for number in range(rounds):
+        trainer = lm.Trainer(model)
+        sequences = [[model.ids()[w] for w in lm.words_of(t)] for t in corpus]
+        parts = [lm.in_round(t, len(s), number, rounds) for t, s in zip(corpus, sequences)]
+        lm._learn(trainer, sequences, parts, np.random.default_rng(number))
+    assert sum(met) == sum(len(lm.words_of(t)) for t in corpus)
