@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, chat_format, exact_dedup, fingerprints, html_extract, lm_score, packing, quality, simhash, toxicity
+from lexmill.llm import (
+    byte_bpe,
+    chat_format,
+    conversation_repair,
+    exact_dedup,
+    fingerprints,
+    html_extract,
+    lm_score,
+    oracles,
+    packing,
+    quality,
+    simhash,
+    spelling,
+    toxicity,
+)
 from lexmill.llm.common import id_remainder, table
 
 
@@ -62,6 +76,14 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.fit_and_score(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_chat_format": op2_chat_format,
@@ -73,6 +95,8 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 #: White space of the exact-dedup contract, as DuckDB's regular expression.
@@ -91,4 +115,6 @@ ORACLES = {
         )
         select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, text_sha256 from best
     """,
+    "op11_conversation_repair": oracles.CONVERSATION_REPAIR,
+    "op13_spelling_variants": oracles.SPELLING,
 }
