@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import exact_dedup, near_copies, packing, quality, toxicity
+from lexmill.llm import exact_dedup, packing, quality, simhash, toxicity
 from lexmill.llm.common import checkpointed, id_remainder, table, without_ids
 
 
@@ -35,8 +35,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts whose five-word shingles overlap by 0.8 or more the smallest id."""
-    grouped = near_copies.group_near_copies(docs)
+    """Of each group of texts whose fingerprints of three-word shingles are linked by two bits at most the smallest id."""
+    grouped = simhash.group_by_simhash(docs)
     return without_ids(docs, grouped.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")))
 
 
