@@ -151,3 +151,24 @@ SPELLING = rf"""
     select f.word, f.form, w.at as root, f.n, f.n_near, f.form_n
     from forms f join walk w on w.word = f.word and w.further is null
 """
+
+NGRAM_JOIN = rf"""
+    with recursive worded as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') as w from documents
+    ), sets as (
+        select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+            else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as shingles
+        from worded
+    ), tokens as (select doc_id, len(shingles) as size, unnest(shingles) as shingle from sets),
+    met as (
+        select a.doc_id as a, b.doc_id as b, a.size as a_size, b.size as b_size, count(*) as common
+        from tokens a join tokens b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all
+    ), links as (select a, b from met where 100 * common >= 80 * (a_size + b_size - common)),
+    edges as (select a, b from links union all select b, a from links),
+    reach as (
+        select doc_id as a, doc_id as b from sets
+        union
+        select r.a, e.b from reach r join edges e on e.a = r.b
+    ), least as (select a, min(b) as component_id from reach group by a)
+    select doc_id, len(shingles)::bigint as n_shingles, component_id from sets join least on a = doc_id
+"""

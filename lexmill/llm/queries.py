@@ -13,6 +13,7 @@ from lexmill.llm import (
     fingerprints,
     html_extract,
     lm_score,
+    ngram_join,
     oracles,
     packing,
     quality,
@@ -80,6 +81,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_similar(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"))
 
@@ -96,6 +101,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_ngram_jaccard_join": op12_ngram_jaccard_join,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -116,5 +122,6 @@ ORACLES = {
         select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, text_sha256 from best
     """,
     "op11_conversation_repair": oracles.CONVERSATION_REPAIR,
+    "op12_ngram_jaccard_join": oracles.NGRAM_JOIN,
     "op13_spelling_variants": oracles.SPELLING,
 }
