@@ -9,14 +9,15 @@ Equal sets collapse to a class first. A class links with another only if the res
 1. *Screen.* With the hashes in ascending order, similar classes share a few of the lowest quarter of each. Classes that share too few
    of these with anything are done. Of the others all hashes are counted; a class with less than four fifths of its set in
    another one is done as well.
-2. *Order.* What is left orders its hashes by how many classes have them, rare ones first. Similar classes then share one of the first
-   fifth of this order, the prefix.
+2. *Order.* What is left orders its hashes by how many classes have them, rare ones first. The longer of two similar classes has one that
+   they share in the first fifth of this order, its probe, and the shorter has it in the first ninth, its index.
 3. *Groups.* Similar classes are put into groups: classes with the same least hash under each of a few mixings are dealt into small
-   groups and compared there; the components of these links, cut into parts of bounded size, are the groups.
-4. *Matrix.* A row (token, group) says that a member has the token in its prefix; a group row holds the union of its members' tokens.
-   The prefix of a class, the query, meets the matrix, by token; its own component is left out, as it adds nothing. In the group's
-   task the query's overlap with the union bounds its overlap with any member: groups under the bound stay closed, in the others
-   the members are compared one by one.
+   groups and compared there; the one with the fewest hashes of its own, as the origin of copies is, is put into each of these. The
+   components of the links, cut into parts of bounded size and alike in length, are the groups.
+4. *Matrix.* A row (token, group) says that a member has the token in its index; a group row holds the union of its members' tokens.
+   The probe of a class, the query, meets the matrix, by token; its own component is left out, as it adds nothing, and groups whose
+   lengths or tokens of others' do not allow the overlap. In the group's task the query's overlap with the union bounds its overlap
+   with any member: groups under the bound stay closed, in the others the members are compared one by one.
 
 A crowd of near copies is one component after step 3, at a cost in proportion to its size, and is never paired in step 4. Texts
 that share passages without being similar meet by their rarest tokens only, a group at a time. Nothing is dropped: each bound
@@ -129,36 +130,56 @@ def _screened(size: int, spare: int) -> int:
     return min(size, size - -(-PERCENT * size // 100) + -(-spare * size // 100))
 
 
-def _shared_enough(sets: DataFrame, least: Column) -> DataFrame:
-    """``(class)`` of the classes of which at least ``least`` hashes, a number from ``size``, stand in another class as well."""
-    tokens = sets.select(F.xxhash64("class").alias("key"), F.explode("hashes").alias("token"))
-    many = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    counts = tokens.join(many, "token", "left_semi").groupBy("key").agg(F.count("*").alias("shared"))
-    counts = broadcast_if_small(checkpointed(counts), 16)
-    keyed = sets.select("class", "size", F.xxhash64("class").alias("key")).join(counts, "key")
-    return keyed.filter(F.col("shared") >= least).select("class").distinct()
+def _shared_tokens(sets: DataFrame) -> DataFrame:
+    """``(id, token, n)`` for each hash of a set that ``n`` sets have, more than one."""
+    tokens = sets.select("id", F.explode("hashes").alias("token"))
+    many = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
+    return tokens.join(many, "token")
+
+
+def _numbered(sets: DataFrame) -> DataFrame:
+    """Write the sets with an ``id`` for each, which is shorter than a class."""
+    return checkpointed(sets.withColumn("id", F.monotonically_increasing_id()))
 
 
-def _candidates(texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(class, size, hashes)`` of the classes that the rest of the table covers well enough to link with anything."""
-    lowest = checkpointed(_sets(texts, classes, SPARE))
+def _screen(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes that share enough of their lowest hashes with others."""
+    lowest = _numbered(_sets(texts, classes, SPARE))
+    shared = _shared_tokens(lowest).groupBy("id").agg(F.count("*").alias("shared"))
     # a similar set may be smaller by a fifth, and then looks at that much less beyond its prefix
-    passed = checkpointed(_shared_enough(lowest, F.ceil(F.ceil(F.col("size") * PERCENT / 100) * SPARE / 100)))
-    left = classes.join(broadcast_if_small(passed, 48), "class", "left_semi")
-    sets = checkpointed(_sets(texts, checkpointed(left)).dropDuplicates(["class"]))
-    covered = broadcast_if_small(checkpointed(_shared_enough(sets, _least_overlap(F.col("size")))), 48)
-    return checkpointed(sets.join(covered, "class", "left_semi"))
+    least = F.ceil(_least_overlap(F.col("size")) * SPARE / 100)
+    passed = lowest.select("id", "class", "size").join(shared, "id").filter(F.col("shared") >= least)
+    passed = checkpointed(passed.select("class").distinct())
+    return checkpointed(classes.join(broadcast_if_small(passed, 48), "class", "left_semi"))
 
 
-def _prefixes(sets: DataFrame) -> DataFrame:
-    """``(class, size, token)``: the tokens of each class's prefix under the common order, those that no other class has left out."""
-    tokens = sets.select("class", "size", F.explode("hashes").alias("token"))
-    many = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
-    ranked = tokens.join(many, "token").groupBy("class", "size").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("all"))
-    # tokens of no other class come first in the order, so the others have what is left of the prefix
-    length = F.size("all") - _least_overlap(F.col("size")) + 1
-    prefix = F.slice("all", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))
-    return ranked.select("class", "size", F.explode(F.transform(prefix, lambda one: one["token"])).alias("token"))
+def candidate_sets(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(id, class, size, hashes)`` of the classes that may link, each once."""
+    sets = _numbered(_sets(texts, _screen(texts, classes)))
+    repeated = sets.groupBy("class").agg(F.min("id").alias("kept"), F.count("*").alias("n")).filter("n > 1")
+    extra = sets.select("id", "class").join(repeated, "class").filter("id <> kept").select("id")
+    return sets.join(broadcast_if_small(checkpointed(extra), 16), "id", "left_anti")
+
+
+def _ranked(sets: DataFrame) -> DataFrame:
+    """``(id, size, covered, probe, index_length)`` of the classes that others cover well enough.
+
+    ``covered`` counts the tokens that other classes have. Tokens of no other class come first in the common order, so the others
+    have what is left of a prefix: ``probe`` holds those of the longer one of a pair, its first ``index_length`` those of the shorter one.
+    """
+    ordered = F.sort_array(F.collect_list(F.struct("n", "token"))).alias("all")
+    ranked = _shared_tokens(sets).groupBy("id").agg(ordered).join(sets.select("id", "size"), "id")
+    covered, size = F.size("all"), F.col("size")
+    probe = F.slice("all", F.lit(1), F.greatest(covered - _least_overlap(size) + 1, F.lit(0)))
+    index = covered - F.ceil(size * 2 * PERCENT / (100 + PERCENT)).cast("int") + 1
+    found = ranked.filter(covered >= _least_overlap(size)).select(
+        "id",
+        "size",
+        covered.alias("covered"),
+        F.transform(probe, lambda one: one["token"]).alias("probe"),
+        F.greatest(index, F.lit(0)).alias("index_length"),
+    )
+    return checkpointed(found)
 
 
 def _overlap(left: np.ndarray, right: np.ndarray) -> int:
@@ -175,28 +196,33 @@ def _ascending(scalar: pa.Scalar) -> np.ndarray:
     return np.sort(scalar.values.to_numpy(zero_copy_only=False))
 
 
-_LINKS = "a binary, b binary"
+_LINKS = "a long, b long"
 
 
-def _links_table(links: list[tuple[bytes, bytes]]) -> pa.Table:
-    return pa.table({name: pa.array([link[n] for link in links], pa.binary()) for n, name in enumerate("ab")})
+def _links_table(links: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({name: pa.array([link[n] for link in links], pa.int64()) for n, name in enumerate("ab")})
 
 
-def _links_within(sets: DataFrame) -> DataFrame:
+def _links_within(sets: DataFrame, ranked: DataFrame) -> DataFrame:
     """``(a, b)``: links between classes that are dealt into one small group by their least mixed hash, for each mixing."""
 
     def least(mixing: int) -> Column:
         return F.array_min(F.transform("hashes", lambda token: F.xxhash64(token, F.lit(mixing))))
 
     mixed = [F.struct(F.lit(n).alias("mixing"), least(n).alias("least")) for n in range(MIXINGS)]
-    keyed = sets.select("class", F.inline(F.array(*mixed)))
-    crowds = keyed.groupBy("mixing", "least").agg(F.count("*").alias("n")).filter("n > 1")
-    parts = F.ceil(F.col("n") / GROUP).cast("int")
-    dealt = keyed.join(crowds, ["mixing", "least"]).withColumn("part", F.pmod(F.xxhash64("class", "mixing"), parts))
-    dealt = broadcast_if_small(checkpointed(dealt.select("class", "mixing", "least", "part")), 64)
+    own = broadcast_if_small(ranked.select("id", (F.col("size") - F.col("covered")).alias("own")), 32)
+    keyed = checkpointed(sets.join(own, "id").select("id", "own", F.inline(F.array(*mixed))))
+    hub = F.min_by("id", F.struct("own", "id")).alias("hub")
+    crowds = keyed.groupBy("mixing", "least").agg(F.count("*").alias("n"), hub).filter("n > 1")
+    crowds = crowds.withColumn("parts", F.ceil(F.col("n") / GROUP).cast("int"))
+    part = F.pmod(F.xxhash64("id", "mixing"), F.col("parts")).alias("part")
+    members = keyed.join(crowds, ["mixing", "least"]).select("id", "mixing", "least", part)
+    parts = F.explode(F.sequence(F.lit(0), F.col("parts").cast("long") - 1)).alias("part")
+    hubs = crowds.filter("parts > 1").select(F.col("hub").alias("id"), "mixing", "least", parts)
+    dealt = broadcast_if_small(checkpointed(members.unionByName(hubs).distinct()), 64)
 
     def compare(table: pa.Table) -> pa.Table:
-        names, arrays = table.column("class").to_pylist(), [_ascending(value) for value in table.column("hashes")]
+        names, arrays = table.column("id").to_pylist(), [_ascending(value) for value in table.column("hashes")]
         root, links = list(range(len(names))), []
 
         def find(n: int) -> int:
@@ -211,45 +237,45 @@ def _links_within(sets: DataFrame) -> DataFrame:
                     links.append((names[n], names[m]))
         return _links_table(links)
 
-    grouped = sets.select("class", "hashes").join(dealt, "class").groupBy("mixing", "least", "part")
-    return grouped.applyInArrow(compare, _LINKS)
+    grouped = sets.select("id", "hashes").join(dealt, "id").groupBy("mixing", "least", "part")
+    return checkpointed(grouped.applyInArrow(compare, _LINKS))
 
 
-def _grouped(sets: DataFrame, links: DataFrame) -> DataFrame:
-    """``(class, component, group)``: the components of the links, in parts of about `GROUP` members."""
-    labels = component_labels(links).toDF("class", "component")
-    placed = sets.select("class").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    sizes = placed.groupBy("component").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("class"), F.col("parts"))
-    return placed.join(sizes, "component").select("class", "component", F.xxhash64("component", part).alias("group"))
+def _grouped(ranked: DataFrame, links: DataFrame) -> DataFrame:
+    """``ranked`` with ``component`` and ``group``: the components of the links, in parts of about `GROUP` members alike in length."""
+    labels = component_labels(links).toDF("id", "component")
+    placed = ranked.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = placed.withColumn("band", F.floor(F.log("size") * 10))
+    parts = placed.groupBy("component", "band").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("id"), F.col("parts"))
+    group = F.xxhash64("component", "band", part).alias("group")
+    return checkpointed(placed.join(parts, ["component", "band"]).select(*ranked.columns, "component", group))
 
 
 def _links_across(sets: DataFrame, groups: DataFrame) -> DataFrame:
     """``(a, b)``: links between classes of different components, found by the token-group matrix."""
-    prefixes = _prefixes(sets).join(groups, "class")
-    matrix = prefixes.groupBy("token", "group", "component").agg(
-        F.min("size").alias("least_size"), F.max("size").alias("greatest_size")
+    index = F.explode(F.slice("probe", F.lit(1), F.col("index_length"))).alias("token")
+    matrix = groups.select(index, "group", "component", "size", "covered").groupBy("token", "group", "component").agg(
+        F.min("size").alias("least_size"), F.max("size").alias("greatest_size"), F.max("covered").alias("most_covered")
     )
-    prefixes, matrix = checkpointed(prefixes), checkpointed(matrix)
-    mine = prefixes.select("token", "class", "size", F.col("component").alias("own"))
-    sized = (PERCENT * F.col("least_size") <= 100 * F.col("size")) & (100 * F.col("greatest_size") >= PERCENT * F.col("size"))
-    met = mine.join(matrix, "token").filter("own < component").filter(sized)
-    asked = checkpointed(met.select("group", "class").distinct())
-    slices = asked.groupBy("group").agg(F.ceil(F.count("*") / SLICE_QUERIES).cast("int").alias("slices"))
-    slices = checkpointed(slices)
-    queries = asked.join(slices, "group").withColumn("slice", F.pmod(F.xxhash64("class"), F.col("slices")))
-    queries = queries.select("group", "slice", "class").join(sets.select("class", "hashes"), "class")
-    opened = groups.select("class", "group").join(slices, "group")
-    members = opened.select("class", "group", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
-    members = members.withColumn("slice", F.col("slice").cast("long")).join(sets.select("class", "hashes"), "class")
-    queries = queries.withColumn("slice", F.col("slice").cast("long"))
+    mine = groups.select(F.explode("probe").alias("token"), "id", "size", "covered", F.col("component").alias("own"))
+    shorter = F.greatest(100 * F.col("least_size"), PERCENT * F.col("size"))  # hundredfold
+    overlap = (100 + PERCENT) * 100 * F.least("covered", "most_covered") >= PERCENT * (100 * F.col("size") + shorter)
+    sized = (F.col("least_size") <= F.col("size")) & (100 * F.col("greatest_size") >= PERCENT * F.col("size"))
+    asked = checkpointed(mine.join(matrix, "token").filter("own <> component").filter(sized & overlap).select("group", "id").distinct())
+    slices = checkpointed(asked.groupBy("group").agg(F.ceil(F.count("*") / SLICE_QUERIES).cast("int").alias("slices")))
+    slice_ = F.pmod(F.xxhash64("id"), F.col("slices")).alias("slice")
+    queries = asked.join(slices, "group").select("group", slice_, "id").join(sets.select("id", "hashes"), "id")
+    every = F.explode(F.sequence(F.lit(0), F.col("slices").cast("long") - 1)).alias("slice")
+    opened = groups.select("id", "group").join(slices, "group").select("group", every, "id")
+    members = opened.join(sets.select("id", "hashes"), "id")
 
     def compare(asking: pa.Table, held: pa.Table) -> pa.Table:
         names = held.column("member").to_pylist()
         arrays = [_ascending(value) for value in held.column("tokens")]
         union = np.unique(np.concatenate(arrays)) if arrays else np.empty(0, np.int64)
         links = []
-        for name, value in zip(asking.column("class").to_pylist(), asking.column("hashes")):
+        for name, value in zip(asking.column("id").to_pylist(), asking.column("hashes")):
             tokens = _ascending(value)
             if 100 * _overlap(tokens, union) < PERCENT * len(tokens):
                 continue
@@ -258,27 +284,29 @@ def _links_across(sets: DataFrame, groups: DataFrame) -> DataFrame:
                     links.append((name, member))
         return _links_table(links)
 
-    columns = ["group", "slice", "class", "hashes"]
+    columns = ["group", "slice", "id", "hashes"]
     held = members.select(*columns).toDF("of_group", "of_slice", "member", "tokens")
     asking = queries.select(*columns).groupBy("group", "slice")
-    return asking.cogroup(held.groupBy("of_group", "of_slice")).applyInArrow(compare, _LINKS)
+    return checkpointed(asking.cogroup(held.groupBy("of_group", "of_slice")).applyInArrow(compare, _LINKS))
 
 
 def links(sets: DataFrame) -> DataFrame:
-    """``(a, b)``: links of ``sets(class, size, hashes)``, enough of them to connect all classes that are similar."""
-    within = checkpointed(_links_within(sets))
-    groups = checkpointed(_grouped(sets, within))
-    return within.unionByName(checkpointed(_links_across(sets, groups)))
+    """``(a, b)``: links of ``sets(id, size, hashes)``, enough of them to connect all that are similar."""
+    ranked = _ranked(sets)
+    within = _links_within(sets, ranked)
+    return within.unionByName(_links_across(sets, _grouped(ranked, within)))
 
 
 def join_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of each row."""
     rows, texts = _classes(df, id_col, text_col)
     classes = checkpointed(rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least_id")))
-    labels = component_labels(links(_candidates(texts, classes))).toDF("class", "root")
-    rooted = classes.join(labels, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    members = rooted.join(named, "root").select("class", "component_id")
+    sets = candidate_sets(texts, classes)
+    labels = component_labels(links(sets)).toDF("id", "root")
+    linked = sets.select("id", "class").join(labels, "id").select("class", "root")
+    named = linked.join(classes, "class").groupBy("root").agg(F.min("least_id").alias("named"))
+    members = classes.join(linked, "class", "left").join(named, "root", "left")
+    members = members.select("class", F.coalesce("named", "least_id").alias("component_id"))
     joined = rows.join(members, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))

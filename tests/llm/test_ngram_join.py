@@ -92,7 +92,21 @@ def test_shared_passages_without_similarity(spark):
     assert joined(spark, rows) == plain(rows)
 
 
-def test_crowd_of_near_copies_is_not_paired(spark, monkeypatch):
+def test_crowd_around_its_origin(spark):
+    """Copies with up to six edits; many are similar to the origin only."""
+    draw = random.Random(8)
+    base = words(draw, 150)
+    texts = [" ".join(base)]
+    for n in range(300):
+        copy = list(base)
+        for edit in range(draw.randrange(7)):
+            copy[draw.randrange(150)] = f"own{n}x{edit}"
+        texts.append(" ".join(copy))
+    rows = list(enumerate(texts))
+    assert joined(spark, rows) == plain(rows)
+
+
+def test_crowd_of_near_copies_is_not_paired(spark):
     draw = random.Random(6)
     base = words(draw, 200)
     texts = []
@@ -103,9 +117,10 @@ def test_crowd_of_near_copies_is_not_paired(spark, monkeypatch):
     frame = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
     rows, raw = ngram_join._classes(frame, "doc_id", "text")
     classes = rows.groupBy("class").agg({"doc_id": "min"}).toDF("class", "least_id")
-    sets = ngram_join._candidates(raw, classes)
-    assert sets.count() == 400
-    groups = ngram_join._grouped(sets, ngram_join._links_within(sets))
+    sets = ngram_join.candidate_sets(raw, classes)
+    ranked = ngram_join._ranked(sets)
+    assert sets.count() == ranked.count() == 400
+    groups = ngram_join._grouped(ranked, ngram_join._links_within(sets, ranked))
     assert groups.select("component").distinct().count() == 1
     assert ngram_join._links_across(sets, groups).count() == 0
 
