@@ -6,6 +6,7 @@ from collections import Counter
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,8 +287,11 @@ def greedy(sizes, limit, shard=0, filled=0):
     return placed
 
 
-@pytest.mark.parametrize(("segment", "opened"), [(2, 0), (2, 37), (3, 0), (7, 12), (1024, 5)])
-def test_shard_assignment_equals_sequential_packing(spark, segment, opened):
+@pytest.mark.parametrize(
+    ("segment", "opened", "rows_of_segment", "fan"),
+    [(2, 0, 65536, 64), (2, 37, 65536, 2), (3, 0, 10, 2), (7, 12, 65536, 3), (1024, 5, 7, 3), (1024, 0, 1, 4)],
+)
+def test_shard_assignment_equals_sequential_packing(spark, segment, opened, rows_of_segment, fan):
     import random
 
     draw = random.Random(segment * 100 + opened)
@@ -295,12 +299,63 @@ def test_shard_assignment_equals_sequential_packing(spark, segment, opened):
     places = sorted((f"f{draw.randint(0, 5)}", index) for index in range(len(sizes)))
     rows = [(path, index, 1, 1, size) for (path, index), size in zip(places, sizes, strict=True)]
     batches = spark.createDataFrame(rows, "relative_path string, batch_no long, rows long, text_rows long, text_bytes long")
-    done = sharding.assign_shards(batches, 100, first_shard=3, open_bytes=opened, segment_shards=segment)
+    done = sharding.assign_shards(batches, 100, 3, opened, segment, rows_of_segment, fan)
     got = {(row["relative_path"], row["batch_no"]): row["shard_id"] for row in done.collect()}
     expected = greedy(sizes, 100, 3, opened)
     assert [got[place] for place in places] == expected
 
 
+def test_passages_compose_as_packing_does():
+    """Any grouping of stretches into blocks leads every shard that may be open before them to the same state."""
+    import random
+
+    draw = random.Random(21)
+    for _ in range(300):
+        limit = draw.choice([5, 20, 60])
+        sizes = [draw.choice([1, 1, 2, 7, limit, 2 * limit]) for _ in range(draw.randrange(3, 40))]
+        starts = [100 + sum(sizes[:n]) for n in range(len(sizes))]
+        rows = pd.DataFrame({"start_bytes": starts, "text_bytes": sizes})
+        cuts = sorted({0, len(sizes), *draw.choices(range(len(sizes)), k=3)})
+        parts = [sharding.Passage(sharding.Passage.through(rows[a:b], limit), limit) for a, b in zip(cuts, cuts[1:])]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.then(part)
+        late = parts[-1]
+        for part in reversed(parts[:-1]):
+            late = part.then(late)
+        for open_start in range(100 - 2 * limit, 100):
+            shard, filled = 0, 100 - open_start
+            last = open_start
+            for at, size in zip(starts, sizes):
+                if filled + size > limit:
+                    shard, filled, last = shard + 1, 0, at
+                filled += size
+            state = (open_start, 0)
+            for part in parts:
+                state = part.enter(*state)
+            assert state == whole.enter(open_start, 0) == late.enter(open_start, 0) == (last, shard)
+
+
+def test_many_tiny_batches_in_one_byte_segment(spark):
+    """Two million batches of a few bytes: bounded segments, and nothing for each of them at the driver."""
+    count, limit = 2_000_000, 100_000
+    sizes = F.pmod(F.xxhash64("id"), F.lit(3)).cast("long") + 1
+    batches = spark.range(count).select(
+        F.lit("f").alias("relative_path"), F.col("id").alias("batch_no"), F.lit(1).cast("long").alias("rows"),
+        F.lit(1).cast("long").alias("text_rows"), sizes.alias("text_bytes"),
+    )
+    done = sharding.assign_shards(batches, limit, segment_batches=65536, fan=4)
+    found = done.groupBy("shard_id").agg(F.min("batch_no").alias("first"), F.sum("text_bytes").alias("bytes")).collect()
+    ordered = [row["text_bytes"] for row in batches.select("batch_no", "text_bytes").orderBy("batch_no").collect()]
+    firsts, filled = [0], 0
+    for number, size in enumerate(ordered):
+        if filled + size > limit:
+            firsts.append(number)
+            filled = 0
+        filled += size
+    assert sorted(row["first"] for row in found) == firsts and all(row["bytes"] <= limit for row in found)
+
+
 def test_configuration_is_checked():
     for bad in ({"batch_rows": 0}, {"shard_bytes": 0}, {"max_files": -1}):
         with pytest.raises(ValueError):
