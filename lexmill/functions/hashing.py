@@ -68,6 +68,44 @@ def row_hash(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.encode(joined, "UTF-8")), 1, 15), 16, 10).cast("long")
 
 
+#: Rolling checksums are polynomials in this base over two prime fields below 2**31, so that products fit a long.
+ROLLING_BASE, ROLLING_MODULI = 1_000_003, (2_147_483_647, 2_147_483_629)
+ROLLING_PREFIX = "rolling62:"
+
+
+def rolling_unit(hash60: Column) -> Column:
+    """The rolling checksum of a sequence of one element.
+
+    Rolling checksums are a monoid: a pair (weight, value) for each field, where the weight is the base to the power of the length. They join
+    in order and in any grouping, so parts of a sequence are folded where they are and nothing is numbered.
+    """
+    fields = []
+    for place, modulus in enumerate(ROLLING_MODULI):
+        fields += [F.lit(ROLLING_BASE).cast("long").alias(f"weight{place}"), (hash60 % F.lit(modulus)).alias(f"value{place}")]
+    return F.struct(*fields)
+
+
+def rolling_join(left: Column, right: Column) -> Column:
+    """The rolling checksum of two sequences one after the other."""
+    fields = []
+    for place, modulus in enumerate(ROLLING_MODULI):
+        weight, value = f"weight{place}", f"value{place}"
+        fields.append((left[weight] * right[weight] % F.lit(modulus)).alias(weight))
+        fields.append(((left[value] * right[weight] + right[value]) % F.lit(modulus)).alias(value))
+    return F.struct(*fields)
+
+
+def rolling_fold(parts: Column) -> Column:
+    """The rolling checksum of an array of rolling checksums, in its order."""
+    nothing = [F.lit(int(name == "weight")).cast("long").alias(f"{name}{place}") for place in (0, 1) for name in ("weight", "value")]
+    return F.aggregate(parts, F.struct(*nothing), rolling_join)
+
+
+def rolling_checksum(rolled: Column) -> Column:
+    """Both values as one hexadecimal number."""
+    return F.concat(F.lit(ROLLING_PREFIX), F.lower(F.hex(F.shiftleft(rolled["value0"], 31).bitwiseOR(rolled["value1"]))))
+
+
 def hex_checksum(value: Column) -> Column:
     return F.concat(F.lit("md5x60:"), F.lower(F.hex(F.coalesce(value, F.lit(0)))))
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.hashing import hex_checksum, row_hash
+from lexmill.functions.hashing import rolling_checksum, rolling_fold, rolling_unit, row_hash
 from lexmill.functions.normalize import normalize
-from lexmill.functions.text import byte_length, corpus_kind
-from lexmill.operators.ordering import running_total
+from lexmill.functions.text import byte_length, corpus_kind, text_lines
+from lexmill.operators.ordering import BLOCK_ROWS, block_of
 from lexmill.operators.sharding import text_bytes
 
 SHARD_NOTE = "A shard of normalised text, written by an ingest run."
@@ -88,29 +88,64 @@ def file_statuses(files: DataFrame, records: DataFrame) -> DataFrame:
     return joined.withColumn("status", F.coalesce("status", F.lit(PENDING)))
 
 
-def corpus_index(lines: DataFrame) -> DataFrame:
-    """Index row of each corpus file from its raw lines ``(relative_path, block, position, raw)``.
+def _line_hash(raw: Column) -> Column:
+    return rolling_unit(row_hash(F.md5(F.encode(raw, "UTF-8"))))
 
-    The checksum depends on the order of lines through their numbers, but its parts combine in any order, so
-    only a hash and a length of each line are shuffled.
-    """
-    normalized = normalize(F.col("raw"))
-    measured = lines.select(
+
+def measured_lines(lines: DataFrame) -> DataFrame:
+    """What the index needs of raw lines ``(relative_path, block, position, raw)``, a row for each line, in blocks of bounded size."""
+    size = byte_length(normalize(F.col("raw")))
+    return lines.select(
         "relative_path",
-        "block",
+        F.struct("block", F.floor(F.col("position") / BLOCK_ROWS).alias("part")).alias("block"),
         "position",
-        F.md5(F.encode("raw", "UTF-8")).alias("_digest"),
-        byte_length(normalized).alias("_bytes"),
+        F.lit(1).cast("long").alias("records"),
+        (size > 0).cast("long").alias("texts"),
+        size.cast("long").alias("octets"),
+        _line_hash(F.col("raw")).alias("rolled"),
+    )
+
+
+def measured_texts(texts: DataFrame, block_rows: int) -> DataFrame:
+    """The same of the lines of ``(relative_path, row_index, text)``, a row for each text: its lines are folded where it is read."""
+    lined = texts.select("relative_path", "row_index", text_lines(F.col("text")).alias("lines"))
+    sized = lined.filter(F.size("lines") > 0).withColumn(
+        "sizes", F.transform("lines", lambda line: byte_length(normalize(line)).cast("long"))
+    )
+    return sized.select(
+        "relative_path",
+        F.struct(block_of(F.col("row_index"), block_rows).alias("block")).alias("block"),
+        F.col("row_index").alias("position"),
+        F.size("lines").cast("long").alias("records"),
+        F.size(F.filter("sizes", lambda size: size > 0)).cast("long").alias("texts"),
+        F.aggregate("sizes", F.lit(0).cast("long"), lambda total, size: total + size).alias("octets"),
+        rolling_fold(F.transform("lines", _line_hash)).alias("rolled"),
     )
-    numbered = running_total(measured, F.lit(1), "_earlier", "position")
-    totals = numbered.groupBy("relative_path").agg(
-        F.count("*").alias("record_count"),
-        F.count_if(F.col("_bytes") > 0).alias("text_count"),
-        F.sum("_bytes").alias("character_count"),
-        hex_checksum(F.bit_xor(row_hash(F.col("_earlier") + 1, F.col("_digest")))).alias("checksum"),
+
+
+def corpus_index(measured: DataFrame) -> DataFrame:
+    """Index row of each corpus file from `measured_lines` or `measured_texts`.
+
+    The checksum depends on the order of lines, but its parts join in any grouping: they are folded per block, then over the
+    blocks of a file. The texts are read once, no line is numbered, and what is shuffled are lengths and checksums.
+    """
+
+    def folded(order: str, keys: tuple[str, ...], rows: DataFrame) -> DataFrame:
+        sums = [F.sum(name).alias(name) for name in ("records", "texts", "octets")]
+        parts = F.sort_array(F.collect_list(F.struct(F.col(order), F.col("rolled")))).alias("parts")
+        grouped = rows.groupBy(*keys).agg(*sums, parts)
+        rolled = rolling_fold(F.transform("parts", lambda part: part["rolled"])).alias("rolled")
+        return grouped.select(*keys, "records", "texts", "octets", rolled)
+
+    blocks = folded("position", ("relative_path", "block"), measured)
+    return folded("block", ("relative_path",), blocks).select(
+        "relative_path",
+        corpus_kind(F.col("relative_path")).alias("kind"),
+        F.col("records").alias("record_count"),
+        F.col("texts").alias("text_count"),
+        F.col("octets").alias("character_count"),
+        rolling_checksum(F.col("rolled")).alias("checksum"),
     )
-    # from the key after the grouping: a string aggregate beside it would sort every row
-    return totals.select("relative_path", corpus_kind(F.col("relative_path")).alias("kind"), *totals.columns[1:])
 
 
 def with_notes(index: DataFrame) -> DataFrame:

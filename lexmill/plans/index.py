@@ -7,10 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.functions.hashing import ROLLING_PREFIX
 from lexmill.functions.text import corpus_kind, parse_corpus_kind
-from lexmill.operators.stats import corpus_index, with_notes
+from lexmill.operators.stats import corpus_index, measured_lines, with_notes
 from lexmill.session import cut_lineage
-from lexmill.sources.files import list_corpus_text, stored_table
+from lexmill.sources.files import list_corpus_text
+from lexmill.sources.snapshots import Snapshots
 from lexmill.sources.text_lines import scan_lines
 
 # Reasons why an index cannot be reused.
@@ -81,7 +83,7 @@ class IndexStatus:
 
 
 def ensure_corpus_index(spark: SparkSession, corpus_root: str, index_path: str, reuse: bool = True) -> IndexStatus:
-    """Load the index if it still describes the corpus files, else refresh and write it.
+    """Load the index if it still describes the corpus files, else refresh and write it as the next version under ``index_path``.
 
     A changed or new file is rescanned; rows of unchanged files are kept, with the result of a full scan.
     """
@@ -106,14 +108,13 @@ def ensure_corpus_index(spark: SparkSession, corpus_root: str, index_path: str,
     paths = [row["path"] for row in stale.select("path").collect()]
     fresh = _scan(spark, corpus_root, stale, paths)
     index = fresh if stored is None else merge_index(stored.select(*INDEX_COLUMNS), changes, fresh)
-    # the rows come partly from the table that is overwritten
     index = cut_lineage(index)
-    index.withColumn("corpus_root", F.lit(corpus_root)).coalesce(1).write.mode("overwrite").parquet(index_path)
+    Snapshots(spark, index_path).write(index.withColumn("corpus_root", F.lit(corpus_root)).coalesce(1))
     return IndexStatus(index, False, file_count, len(paths), reason)
 
 
 def _load(spark: SparkSession, corpus_root: str, index_path: str) -> tuple[DataFrame | None, str]:
-    stored = stored_table(spark, index_path)
+    stored = Snapshots(spark, index_path).read()
     if stored is None:
         return None, NO_INDEX
     if not {*INDEX_COLUMNS, "corpus_root"} <= set(stored.columns):
@@ -132,14 +133,15 @@ def _load(spark: SparkSession, corpus_root: str, index_path: str) -> tuple[DataF
 
 def _scan(spark: SparkSession, corpus_root: str, files: DataFrame, paths: list[str]) -> DataFrame:
     if not paths:
-        empty = with_notes(corpus_index(spark.createDataFrame([], "relative_path string, block long, position long, raw string")))
+        no_lines = spark.createDataFrame([], "relative_path string, block long, position long, raw string")
+        empty = with_notes(corpus_index(measured_lines(no_lines)))
         return empty.withColumn("file_size", F.lit(0)).withColumn("modified", F.current_timestamp()).select(*INDEX_COLUMNS)
-    scanned = corpus_index(scan_lines(spark, corpus_root, paths))
+    scanned = corpus_index(measured_lines(scan_lines(spark, corpus_root, paths)))
     # a file without a line gives no row of its own
     joined = files.select("relative_path", "file_size", "modified").join(scanned, "relative_path", "left")
     return with_notes(_fill_empty(joined)).select(*INDEX_COLUMNS)
 
 
 def _fill_empty(index: DataFrame) -> DataFrame:
-    filled = index.fillna({"record_count": 0, "text_count": 0, "character_count": 0, "checksum": "md5x60:0"})
+    filled = index.fillna({"record_count": 0, "text_count": 0, "character_count": 0, "checksum": f"{ROLLING_PREFIX}0"})
     return filled.withColumn("kind", corpus_kind(F.col("relative_path")))

@@ -13,7 +13,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.config import TrainingConfig
+from lexmill.config import IngestConfig, TrainingConfig
 from lexmill.functions import hashing, text as tx
 from lexmill.functions.normalize import normalize, null_to_empty
 from lexmill.operators import corpus, evaluate, mix, ordering, sampling, sharding, stats, vocab_training
@@ -22,6 +22,8 @@ from lexmill.plans import index as corpus_index
 from lexmill.plans import ingest
 from lexmill.session import cut_lineage, ensure_checkpoint_dir, spread_scan
 from lexmill.sources import exports, files, parquet_text, text_lines
+from lexmill.sources.snapshots import Snapshots
+from lexmill.streaming.ingest_stream import forget_last_commit, start_ingest_stream
 
 #: Rows of a batch and bytes of a shard in the queries; the second makes segments of eight shards.
 BATCH_ROWS = 64
@@ -90,8 +92,12 @@ def export_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.export_texts(export_records(spark, sf_dir), mix.export_rules(spark, CONFIG))
 
 
+def index_of_texts(texts: DataFrame) -> DataFrame:
+    return stats.corpus_index(stats.measured_texts(texts, corpus.BLOCK_TEXTS))
+
+
 def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.with_notes(stats.corpus_index(corpus.raw_lines(corpus_texts(spark, sf_dir))))
+    return stats.with_notes(index_of_texts(corpus_texts(spark, sf_dir)))
 
 
 def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,7 +271,32 @@ def index_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one row for each file
     stale = newer.join(F.broadcast(changes.filter("change in ('changed', 'added')")), "relative_path", "left_semi")
     return corpus_index.merge_index(
-        stats.corpus_index(corpus.raw_lines(older)), changes, stats.corpus_index(corpus.raw_lines(stale))
+        index_of_texts(older), changes, index_of_texts(stale)
+    )
+
+
+def index_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored index of the documents as text files, after a further file came and the index was brought up to date from its last version.
+
+    By source, with the number of versions that were written; the second look finds nothing to do.
+    """
+    folder = _fresh_folder(spark)
+    root, stored = f"{folder}/corpus", f"{folder}/index"
+    documents = table(spark, sf_dir, "documents").select("source", F.coalesce("text", F.lit("")).alias("value"))
+    documents.write.partitionBy("source").text(root, lineSep="\n")
+    first = corpus_index.ensure_corpus_index(spark, root, stored)
+    added = table(spark, sf_dir, "benchmark").select(F.coalesce("text", F.lit("")).alias("value"))
+    added.write.text(f"{root}/source=supplement", lineSep="\n")
+    second = corpus_index.ensure_corpus_index(spark, root, stored)
+    third = corpus_index.ensure_corpus_index(spark, root, stored)
+    kept = first.index.join(third.index, first.index.columns, "left_anti").isEmpty()
+    source = F.regexp_extract("relative_path", "^source=([^/]+)/", 1)
+    return third.index.groupBy(source.alias("source")).agg(
+        F.sum("record_count").alias("lines"),
+        F.sum("text_count").alias("texts"),
+        F.lit(second.reason).alias("reason"),
+        F.lit(kept and third.reused_existing and not second.reused_existing).alias("kept_and_reused"),
+        F.lit(Snapshots(spark, stored).current + 1).cast("long").alias("versions"),
     )
 
 
@@ -324,6 +355,74 @@ def ingest_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_records(spark, sf_dir).drop("input_bytes", "row_group_count")
 
 
+#: Text tables as they arrive in the queries that run an ingest: first the one group, later the other.
+ARRIVALS = (("documents", "benchmark"), ("pages", "conversations"))
+DAMAGED = "damaged.parquet"
+
+
+def _arrive(spark: SparkSession, sf_dir: str, root: str, names: tuple[str, ...]) -> None:
+    """Copy tables below ``root``, each as a folder of files."""
+    for name in names:
+        spread_scan(table(spark, sf_dir, name)).write.parquet(f"{root}/{name}.parquet")
+
+
+def _damage(spark: SparkSession, root: str) -> None:
+    """Put a file there that is named like the others and is no Parquet."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{DAMAGED}")
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, False)
+    stream.writeBytes("neither footer nor rows")
+    stream.close()
+
+
+def _ingested(spark: SparkSession, out: str) -> DataFrame:
+    """Status and counts of an output by source table, from its committed log, with the rows and bytes of its corpus table."""
+    source = F.substring_index("relative_path", "/", 1)
+    columns = F.array_sort(F.collect_set(F.when(F.col("detected_text_column") != "", F.col("detected_text_column"))))
+    counts = [F.sum(name).alias(name) for name in ("rows_processed", "text_rows_written", "text_bytes_written")]
+    logged = ingest.file_log(spark, out).groupBy(source.alias("relative_path")).agg(
+        F.array_join(F.array_sort(F.collect_set("status")), ",").alias("status"),
+        F.array_join(columns, ",").alias("detected_text_column"),
+        *counts,
+    )
+    held = ingest.load_corpus(spark, out).groupBy(source.alias("relative_path")).agg(
+        F.count("*").alias("corpus_rows"), F.sum(sharding.text_bytes(F.col("text"))).alias("corpus_bytes")
+    )
+    return logged.join(held, "relative_path", "left").fillna(0, ["corpus_rows", "corpus_bytes"])
+
+
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text tables through the file stream: some files, a stop, then the others and a damaged one.
+
+    The stream starts again from its checkpoint, whose last offset is taken back, so that a micro-batch that was committed comes again.
+    """
+    folder = _fresh_folder(spark)
+    config = IngestConfig(f"{folder}/in", f"{folder}/out", batch_rows=BATCH_ROWS, shard_bytes=SHARD_BYTES)
+    checkpoint = f"{folder}/checkpoint"
+    _arrive(spark, sf_dir, config.parquet_root, ARRIVALS[0])
+    start_ingest_stream(spark, config, checkpoint).awaitTermination()
+    forget_last_commit(spark, checkpoint)
+    _arrive(spark, sf_dir, config.parquet_root, ARRIVALS[1])
+    _damage(spark, config.parquet_root)
+    start_ingest_stream(spark, config, checkpoint).awaitTermination()
+    return _ingested(spark, config.output_root)
+
+
+def ingest_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text tables and a damaged file through runs that each stop after a third of the batches, until all is done."""
+    folder = _fresh_folder(spark)
+    root, out = f"{folder}/in", f"{folder}/out"
+    for names in ARRIVALS:
+        _arrive(spark, sf_dir, root, names)
+    _damage(spark, root)
+    waiting = parquet_text.choose_text_column(parquet_text.probe_footers(files.list_parquet(spark, root)))
+    waiting = waiting.withColumn("start_batch", F.lit(0).cast("long"))
+    batches = ingest.within_batches(waiting, BATCH_ROWS, 0).agg(F.sum("end_batch")).first()[0]
+    config = IngestConfig(root, out, batch_rows=BATCH_ROWS, shard_bytes=SHARD_BYTES, max_batches=batches // 3 + 1)
+    while not ingest.run_ingest(spark, config).completed:
+        pass
+    return _ingested(spark, out)
+
+
 def ingest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.run_totals(ingest_records(spark, sf_dir))
 
@@ -545,6 +644,7 @@ QUERIES = {
         index_changes,
         index_validity,
         index_incremental,
+        index_store,
         text_column_choice,
         parquet_listing,
         discovery_fingerprint,
@@ -552,6 +652,8 @@ QUERIES = {
         text_file_lines,
         jsonl_records,
         ingest_file_stats,
+        ingest_stream,
+        ingest_resume,
         ingest_totals,
         ingest_text_columns,
         ingest_manifest,

@@ -18,6 +18,16 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Take back the last offset commit of a stopped stream, as if it had died just before it: its last micro-batch comes again."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in store.listStatus(folder)]
+    last = max(int(name) for name in names if name.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        store.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/{name}"), False)
+
+
 def start_ingest_stream(
     spark: SparkSession, config: IngestConfig, checkpoint: str, files_per_batch: int = 1000, continuous: bool = False
 ) -> StreamingQuery:

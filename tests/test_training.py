@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lexmill import session
 from lexmill.config import TrainingConfig, WriteOptions
+from lexmill.functions import hashing
 from lexmill.functions.normalize import normalize
 from lexmill.operators import corpus, mix, sampling, stats, vocab_training
 from lexmill.operators.merge_plan import merge_order
@@ -20,6 +21,7 @@ from lexmill.operators.subword_model import SubwordModel, segment_word
 from lexmill.plans.artifacts import write_artifacts
 from lexmill.plans.index import ensure_corpus_index
 from lexmill.plans.training import build_input, select_lines, train_vocabulary
+from lexmill.sources.snapshots import Snapshots
 from lexmill.sources.text_lines import scan_lines
 
 SHARD = "Neutral prose makes the vocabulary cover plain language.\r\nThe record keeps its doubt where evidence is thin.\n"
@@ -147,11 +149,61 @@ def test_index_is_reused_refreshed_and_equal_to_a_full_scan(spark, source):
         ensure_corpus_index(spark, str(source / "nowhere"), path)
 
 
+def test_index_of_texts_equals_index_of_their_lines(spark):
+    """Any way to group lines into texts and blocks gives one checksum, that of the plain polynomial."""
+    import hashlib
+
+    lines = [f"line {n} \t x" if n % 7 else "" for n in range(200)]
+    found = set()
+    for size, block in ((1, 4096), (3, 2), (50, 1), (200, 4096)):
+        groups = [lines[n : n + size] for n in range(0, 200, size)]
+        rows = [("f.txt", n, "\n".join(group) + "\n") for n, group in enumerate(groups)]
+        texts = spark.createDataFrame(rows, "relative_path string, row_index long, text string").repartition(3)
+        found |= {tuple(row) for row in stats.corpus_index(stats.measured_texts(texts, block)).collect()}
+    raw = spark.createDataFrame([("f.txt", n // 60, n, line) for n, line in enumerate(lines)], "relative_path string, block long, position long, raw string")
+    found |= {tuple(row) for row in stats.corpus_index(stats.measured_lines(raw)).collect()}
+    values = [0, 0]
+    for line in lines:
+        digest = hashlib.md5(hashlib.md5(line.encode()).hexdigest().encode()).hexdigest()
+        for place, modulus in enumerate(hashing.ROLLING_MODULI):
+            values[place] = (values[place] * hashing.ROLLING_BASE + int(digest[:15], 16)) % modulus
+    (row,) = found
+    assert row[2] == 200 and row[-1] == f"rolling62:{values[0] << 31 | values[1]:x}"
+
+
+def test_index_reads_the_texts_once(spark, tmp_path):
+    spark.createDataFrame([("f.txt", 1, "a\nb")], "relative_path string, row_index long, text string").write.parquet(str(tmp_path / "t"))
+    index = stats.corpus_index(stats.measured_texts(spark.read.parquet(str(tmp_path / "t")), 4096))
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_a_crash_before_the_pointer_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    table = Snapshots(spark, path)
+    assert table.current is None and table.read() is None
+    assert table.write(spark.range(3)) == 0 and table.read().count() == 3
+
+    def crash(self, version):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Snapshots, "_point", crash)
+        with pytest.raises(RuntimeError):
+            table.write(spark.range(5))
+    assert table.current == 0 and table.read().count() == 3
+    assert table.write(spark.range(7)) == 2 and table.read().count() == 7
+    old = table.read()
+    assert table.write(spark.range(8)) == 3 and old.count() == 7 and table.read().count() == 8
+    assert table.write(spark.range(9)) == 4
+    assert sorted(p.name for p in (tmp_path / "table" / "versions").iterdir()) == ["3", "4"]
+
+
 def test_checksum_follows_line_order_only(spark):
     def checksum(lines, partitions):
         rows = [("f.txt", index // 3, index, line) for index, line in enumerate(lines)]
         frame = spark.createDataFrame(rows, "relative_path string, block long, position long, raw string")
-        return stats.corpus_index(frame.repartition(partitions)).first()["checksum"]
+        return stats.corpus_index(stats.measured_lines(frame.repartition(partitions))).first()["checksum"]
 
     lines = [f"line {index}" for index in range(20)]
     assert checksum(lines, 1) == checksum(lines, 7)
