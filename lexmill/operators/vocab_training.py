@@ -8,6 +8,7 @@ merging, applies them to the words, and updates the counts by the difference the
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -166,8 +167,8 @@ class Training:
     rounds: int
 
 
-def train_merges(words: DataFrame, config: TrainingConfig) -> Training:
-    """Learn merges from ``(word, freq)`` until the vocabulary is full or no pair is left.
+def train_merges(words: DataFrame, config: TrainingConfig, report: Callable[[int], None] = lambda done: None) -> Training:
+    """Learn merges from ``(word, freq)`` until the vocabulary is full or no pair is left; ``report`` hears of the merges after each round.
 
     The driver sees the leading pairs of a round and their contexts, never words. Each round's tables are
     written beside the checkpoints and those of the round before are deleted, so plans stay short, a lost executor
@@ -209,6 +210,7 @@ def train_merges(words: DataFrame, config: TrainingConfig) -> Training:
         if len(known) >= capacity:
             break
         rounds += 1
+        report(len(merges))
         merged = steps.write(merge_words(symbols, [pair[:2] for pair in accepted]))
         contexts = steps.write(update_contexts(contexts, merged))
         steps.keep(merged, contexts)

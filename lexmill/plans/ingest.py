@@ -9,6 +9,7 @@ one goes on there. A file that fails, also in a later run, is left out whole. On
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from lexmill.config import IngestConfig
 from lexmill.functions.normalize import normalize
 from lexmill.functions.text import shard_name, utc_text
 from lexmill.operators import sharding, stats
+from lexmill.plans.progress import RUNNING, ProgressLog
 from lexmill.session import broadcast_if_small, cut_lineage, spread_scan
 from lexmill.sources import files as listing
 from lexmill.sources import parquet_text
@@ -111,6 +113,23 @@ def ingest_files(
     first_run: int,
     fingerprint: str = "",
     stream: tuple[str, int] = ("", -1),
+) -> bool:
+    """`_ingest_files` with rows about its phases in ``progress`` of the output, also if it fails."""
+    label = f"run-{run}" if stream[1] < 0 else f"run-{run}-stream-{stream[0]}-{stream[1]}"
+    log = ProgressLog(spark, f"{config.output_root}/progress", f"{label}-{uuid.uuid4().hex[:8]}")
+    with log.phase("ingest"):
+        return _ingest_files(spark, config, files, run, first_run, fingerprint, stream, log)
+
+
+def _ingest_files(
+    spark: SparkSession,
+    config: IngestConfig,
+    files: DataFrame,
+    run: int,
+    first_run: int,
+    fingerprint: str,
+    stream: tuple[str, int],
+    log: ProgressLog,
 ) -> bool:
     """Ingest the listed files as run ``run`` and commit it; true when all of their batches were taken.
 
@@ -124,6 +143,7 @@ def ingest_files(
     )
     chosen = cut_lineage(probed.join(files.select("relative_path", "start_batch"), "relative_path"))
     taken = cut_lineage(within_batches(chosen, config.batch_rows, config.max_batches))
+    log.write("read", RUNNING, files=taken.count())
     if config.stop_on_file_error:
         bad = taken.filter("note is not null").orderBy("relative_path").first()
         if bad is not None:
@@ -143,6 +163,8 @@ def ingest_files(
     # everything from here on is about the rows that were written
     written = spark.read.schema(CORPUS_SCHEMA).parquet(here)
     batches = cut_lineage(sharding.batch_sizes(written, config.batch_rows))
+    counted = batches.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("text_rows"), F.lit(0))).first()
+    log.write("pack", RUNNING, scanned=counted[0], selected=counted[1])
     records = cut_lineage(_file_records(taken, batches, history, config.batch_rows))
     good = records.filter(F.col("status") != stats.SKIPPED).select("relative_path")
     first_shard, open_bytes = _open_shard(spark, out, run, first_run)
@@ -151,6 +173,7 @@ def ingest_files(
     assigned.write.mode("overwrite").parquet(f"{out}/batches/run={run}")
     records.coalesce(1).write.mode("overwrite").parquet(f"{out}/ingest_files/run={run}")
 
+    log.write("commit", RUNNING)
     unfinished = records.filter(F.col("status") == stats.PARTIAL).limit(1).count()
     all_taken = not unfinished and taken.count() == chosen.count()
     _commit(

@@ -11,6 +11,7 @@ from lexmill.config import TrainingConfig
 from lexmill.operators import corpus, evaluate, mix, sampling, vocab_training
 from lexmill.operators.subword_model import SubwordModel
 from lexmill.plans.index import IndexStatus, ensure_corpus_index
+from lexmill.plans.progress import RUNNING, ProgressLog
 from lexmill.session import cut_lineage
 from lexmill.sources.exports import read_exports
 from lexmill.sources.files import dataset_inventory
@@ -82,10 +83,19 @@ def train_vocabulary(
     corpus_root: str,
     index_path: str,
     config: TrainingConfig,
+    progress_path: str = "",
 ) -> TrainingResult:
-    """Train a vocabulary and describe the run in a one-row manifest."""
-    index = ensure_corpus_index(spark, corpus_root, index_path, config.reuse_corpus_index)
-    training = build_input(spark, source_root, dataset_root, corpus_root, index.index, config)
+    """Train a vocabulary and describe the run in a one-row manifest.
+
+    Rows about its phases go to ``progress_path`` while it runs, by default beside the index.
+    """
+    log = ProgressLog(spark, progress_path or f"{index_path}/progress")
+    with log.phase("index") as counts:
+        index = ensure_corpus_index(spark, corpus_root, index_path, config.reuse_corpus_index)
+        counts["files"] = index.file_count
+    with log.phase("sources") as counts:
+        training = build_input(spark, source_root, dataset_root, corpus_root, index.index, config)
+        counts["scanned"] = training.totals.first()["training_text_count"]
     selected = select_lines(training, config)
     scan = Observation("training scan")
     observed = selected.observe(
@@ -94,11 +104,15 @@ def train_vocabulary(
         F.count_if(F.octet_length("text") > config.max_sentence_length).alias("overlong_lines"),
     )
     short = sampling.within_sentence_limit(observed, config.max_sentence_length)
-    words = cut_lineage(vocab_training.word_frequency(short))
-    trained = vocab_training.train_merges(words, config)
-    model = SubwordModel.from_training(spark, trained)
-    metrics = scan.get | {"merge_rounds": trained.rounds, "merges": len(trained.merges)}
-    manifest = build_manifest(model, training, metrics["selected_lines"] or 0, config)
+    with log.phase("words") as counts:
+        words = cut_lineage(vocab_training.word_frequency(short))
+        counts["selected"] = scan.get["selected_lines"] or 0
+    with log.phase("merges"):
+        trained = vocab_training.train_merges(words, config, lambda done: log.write(f"merges {done}", RUNNING))
+    with log.phase("manifest"):
+        model = SubwordModel.from_training(spark, trained)
+        metrics = scan.get | {"merge_rounds": trained.rounds, "merges": len(trained.merges)}
+        manifest = build_manifest(model, training, metrics["selected_lines"] or 0, config)
     return TrainingResult(model, manifest, training.lineage, sample_report(model), index, metrics)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lexmill.config import IngestConfig
 from lexmill.operators import sharding
+from lexmill.plans.progress import progress
 from lexmill.plans.ingest import export_text, file_log, load_corpus, run_ingest
 from lexmill.sources import files, parquet_text
 from lexmill.streaming.ingest_stream import start_ingest_stream
@@ -237,6 +238,28 @@ def test_stream_ingests_each_file_once(spark, dataset, tmp_path):
     assert file_log(spark, str(out)).count() == 4
 
 
+def test_progress_rows_of_a_stream_and_of_a_run_that_fails(spark, dataset, tmp_path):
+    out = tmp_path / "out"
+    start_ingest_stream(spark, config_of(dataset, out), str(tmp_path / "checkpoint"), files_per_batch=2).awaitTermination(180)
+    rows = progress(spark, f"{out}/progress").orderBy("run", "seq").collect()
+    by_run = {}
+    for row in rows:
+        by_run.setdefault(row["run"], []).append(row)
+    assert len(by_run) == 2 and all("-stream-" in run for run in by_run)
+    for own in by_run.values():
+        states = [(row["phase"], row["state"]) for row in own]
+        assert states == [("ingest", "started"), *[(name, "running") for name in ("read", "pack", "commit")], ("ingest", "finished")]
+    assert sum(own[-1]["scanned"] for own in by_run.values()) == len(EXPECTED)
+    assert sum(own[-1]["files"] for own in by_run.values()) == 3
+
+    failing = tmp_path / "failing"
+    with pytest.raises(RuntimeError):
+        run_ingest(spark, config_of(dataset, failing, stop_on_file_error=True))
+    last = progress(spark, f"{failing}/progress").orderBy("seq").collect()[-1]
+    assert (last["phase"], last["state"]) == ("ingest", "failed") and "bad.parquet" in last["last_error"]
+    assert progress(spark, str(tmp_path / "nothing")).count() == 0
+
+
 def test_stream_refuses_bounds_that_would_lose_files(spark, dataset, tmp_path):
     for bound in ({"max_batches": 2}, {"max_files": 1}):
         with pytest.raises(ValueError, match="files_per_batch"):

@@ -20,6 +20,7 @@ from lexmill.operators.merge_plan import merge_order
 from lexmill.operators.subword_model import SubwordModel, segment_word
 from lexmill.plans.artifacts import write_artifacts
 from lexmill.plans.index import ensure_corpus_index
+from lexmill.plans.progress import progress
 from lexmill.plans.training import build_input, select_lines, train_vocabulary
 from lexmill.sources.snapshots import Snapshots
 from lexmill.sources.text_lines import scan_lines
@@ -149,6 +150,20 @@ def test_index_is_reused_refreshed_and_equal_to_a_full_scan(spark, source):
         ensure_corpus_index(spark, str(source / "nowhere"), path)
 
 
+def test_progress_rows_of_a_training_and_of_one_that_fails(spark, source, tmp_path):
+    _, _, roots = train(spark, source)
+    rows = progress(spark, f"{roots[-1]}/progress").orderBy("seq").collect()
+    finished = [row["phase"] for row in rows if row["state"] == "finished"]
+    assert finished == ["index", "sources", "words", "merges", "manifest"]
+    assert any(row["phase"].startswith("merges ") and row["state"] == "running" for row in rows)
+    assert rows[-1]["files"] == 2 and rows[-1]["scanned"] > 0 and rows[-1]["selected"] > 0
+    broken = str(tmp_path / "broken")
+    with pytest.raises(ValueError, match="no room"):
+        train_vocabulary(spark, *roots, TrainingConfig(vocab_size=270), broken)
+    last = progress(spark, broken).orderBy("seq").collect()[-1]
+    assert (last["phase"], last["state"]) == ("merges", "failed") and "no room" in last["last_error"]
+
+
 def test_index_of_texts_equals_index_of_their_lines(spark):
     """Any way to group lines into texts and blocks gives one checksum, that of the plain polynomial."""
     import hashlib
