@@ -57,9 +57,14 @@ EXCEPTIONS = (
 
 _FOLD = str.maketrans(HOMOGLYPHS)
 _SUBSTITUTE = str.maketrans(SUBSTITUTIONS)
-#: A word that mixes letters with stand-ins between letters, or before a letter.
 _SIGNS = f"[{re.escape(''.join(SUBSTITUTIONS))}]"
-_MASKED = re.compile(rf"[^\W_]*(?:{_SIGNS}+[^\W\d_]+)+{_SIGNS}*", re.UNICODE)
+_MARKS = re.escape("".join(sign for sign in SUBSTITUTIONS if not sign.isalnum()))
+#: A maximal run of letters, digits and stand-ins. Possessive, so that a run of any length is read once.
+_RUN = re.compile(rf"(?:[^\W_]++|[{_MARKS}]++)++")
+_MARK = re.compile(f"[{_MARKS}]")
+#: All stand-ins in a row and the letters that follow them.
+_UNIT = re.compile(rf"(?<!{_SIGNS}){_SIGNS}++[^\W\d_]++")
+_SIGNS_HERE = re.compile(rf"{_SIGNS}*+")
 #: Whether folding has anything to map: cheap searches, as most texts have neither.
 _STAND_IN = re.compile(rf"{_SIGNS}[^\W\d_]")
 _FOREIGN = re.compile(f"[{''.join(HOMOGLYPHS)}]")
@@ -67,7 +72,31 @@ _OTHERS = re.compile(r"[^\w ]+|[\d_]+")
 
 
 def _plain(match: re.Match) -> str:
-    return match[0].translate(_SUBSTITUTE)
+    """A run with its masked words mapped, in one pass.
+
+    A masked word is letters and digits, one or more units, and the stand-ins behind the last. It begins where the one before ends, or
+    behind a mark that no letter follows, and takes in every unit that begins before the next mark.
+    """
+    run = match[0]
+    if not _STAND_IN.search(run):
+        return run
+    units = [unit.span() for unit in _UNIT.finditer(run)]
+    done, start, at = [], 0, 0
+    while at < len(units):
+        mark = _MARK.search(run, start)
+        reach = mark.start() if mark else len(run)
+        if units[at][0] > reach:
+            done.append(run[start : reach + 1])
+            start = reach + 1
+            continue
+        while at + 1 < len(units) and units[at + 1][0] <= reach:
+            at += 1
+        while at + 1 < len(units) and units[at + 1][0] == units[at][1]:
+            at += 1
+        end = _SIGNS_HERE.match(run, units[at][1]).end()
+        done.append(run[start:end].translate(_SUBSTITUTE))
+        start, at = end, at + 1
+    return "".join([*done, run[start:]])
 
 
 def fold(text: str) -> str:
@@ -76,7 +105,7 @@ def fold(text: str) -> str:
     if not lowered.isascii() and _FOREIGN.search(lowered):
         lowered = lowered.translate(_FOLD)
     if _STAND_IN.search(lowered):
-        lowered = _MASKED.sub(_plain, lowered)
+        lowered = _RUN.sub(_plain, lowered)
     return f" {' '.join(_OTHERS.sub(' ', lowered).split())} "
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 from lexmill.llm import toxicity as tox
 from pyspark.sql import functions as F
@@ -38,6 +39,24 @@ def test_folding():
     assert tox.fold("") == "  "
 
 
+def test_masked_words_equal_their_expression():
+    """The one-pass rule against the expression that says what a masked word is, which takes cubic time."""
+    signs = tox._SIGNS
+    masked = re.compile(rf"[^\W_]*(?:{signs}+[^\W\d_]+)+{signs}*")
+    draw = random.Random(5)
+    for _ in range(60_000):
+        text = "".join(draw.choices("ab0146!@2_ ²é", k=draw.randrange(16)))
+        wanted = masked.sub(lambda match: match[0].translate(tox._SUBSTITUTE), text)
+        assert tox._RUN.sub(tox._plain, text) == wanted, text
+
+
+def test_long_runs_fold_in_linear_time():
+    started = time.perf_counter()
+    for run in ("1", "!", "1!", "a1", "12", "@", "a", "1a2!"):
+        assert len(tox.fold(f"a4b {run * 1_000_000} a4b")) > 8
+    assert time.perf_counter() - started < 30
+
+
 def test_each_substitution_is_folded():
     for stand_in, letter in tox.SUBSTITUTIONS.items():
         assert tox.fold(f"dis{stand_in}usting {stand_in}ad 2{stand_in}") == f" dis{letter}usting {letter}ad "
