@@ -64,19 +64,25 @@ def build_filters(snapshot: DataFrame, shards: int) -> DataFrame:
     return keyed.groupBy("shard").applyInArrow(build, "shard int, filter binary")
 
 
-def screen(batch: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
-    """The batch's classes with ``maybe_old``: whether their shard's filter may hold them."""
+def screen(batch: DataFrame, filters: DataFrame, shards: int, salts: int = 1) -> DataFrame:
+    """The batch's classes with ``maybe_old``: whether their shard's filter may hold them.
+
+    A shard of the batch is cut into ``salts`` parts, each of which meets a copy of the shard's filter, whose size is bounded.
+    """
 
     def probe(asked: pa.Table, held: pa.Table) -> pa.Table:
         keys = asked.column("key").to_numpy().astype(np.int64).view(np.uint64)
         found = np.zeros(len(keys), bool)
         if held.num_rows and len(keys):
             found = fuse_filter.contains(held.column("filter")[0].as_py(), keys)
-        return asked.drop_columns(["shard", "key"]).append_column("maybe_old", pa.array(found, pa.bool_()))
+        return asked.drop_columns(["shard", "salt", "key"]).append_column("maybe_old", pa.array(found, pa.bool_()))
 
     schema = StructType([*batch.schema.fields, StructField("maybe_old", BooleanType())])
-    asked = _sharded(batch, shards).select("shard", "key", *batch.columns)
-    return asked.groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(probe, schema)
+    salt = F.pmod(F.xxhash64("text_sha256", "key"), F.lit(salts)).alias("salt")
+    asked = _sharded(batch, shards).select("shard", salt, "key", *batch.columns)
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt")
+    held = filters.select("shard", copies, "filter")
+    return asked.groupBy("shard", "salt").cogroup(held.groupBy("shard", "salt")).applyInArrow(probe, schema)
 
 
 def joint_classes(new: DataFrame, old: DataFrame) -> DataFrame:
@@ -85,7 +91,10 @@ def joint_classes(new: DataFrame, old: DataFrame) -> DataFrame:
     if not n_old:
         return new
     shards = shard_count(n_old)
-    screened = checkpointed(screen(new, build_filters(old, shards), shards))
+    new = checkpointed(new)
+    # a batch that is much larger than the snapshot is cut into more parts than the snapshot has shards
+    salts = -(-shard_count(new.count()) // shards)
+    screened = checkpointed(screen(new, build_filters(old, shards), shards, salts))
     fresh = screened.filter("not maybe_old").drop("maybe_old")
     met = screened.filter("maybe_old").drop("maybe_old").unionByName(old).groupBy("text_sha256")
     return fresh.unionByName(met.agg(F.max("best").alias("best"), F.sum("group_size").alias("group_size")))
