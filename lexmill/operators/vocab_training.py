@@ -2,28 +2,35 @@
 
 Words are counted once over the corpus; the merge loop then touches only the table of distinct
 words. Each round picks as many merges as can be proven to be the next ones of one-at-a-time greedy
-merging, applies them to the words, and updates the counts by the difference the changed words make.
+merging, applies them to the words that hold them, and updates the counts by the difference these make.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.config import SPECIAL_TOKENS, TrainingConfig
 from lexmill.operators.merge_plan import RoundPlan
 from lexmill.functions.text import SPACE_MARKER, encode_hex, visible
-from lexmill.session import StepTables
+from lexmill.session import BROADCAST_LIMIT_BYTES, StepTables, broadcast_if_small
 
 MERGE_SCHEMA = "rank int, left string, right string, piece string, count long"
 VOCAB_SCHEMA = "id int, special boolean, label string, piece string"
 BYTE_PIECES = tuple(f"<0x{value:02X}>" for value in range(256))
 FIRST_FREE_ID = len(SPECIAL_TOKENS) + len(BYTE_PIECES)
+#: Once a round changes at most this share of the open words, later ones find theirs by an index of pairs.
+SPARSE_SHARE = 0.2
+#: Rounds that are replayed on the words found before all words and their index are written anew.
+REPLAYED_ROUNDS = 12
+#: Memory of one word number in a broadcast: eight bytes, a few times that when hashed.
+NUMBER_BYTES = 64
 
 
 def words_of(text: Column) -> Column:
@@ -143,13 +150,17 @@ def merge_words(symbols: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     return symbols.withColumn("merged", apply_merges(F.col("symbols"), merges))
 
 
-def update_contexts(contexts: DataFrame, words: DataFrame) -> DataFrame:
-    """Context counts after a round: the changed words lose their old contexts and gain the new ones."""
-    changed = words.filter("merged != symbols")
+def context_changes(words: DataFrame) -> DataFrame:
+    """What a round changes in the context counts: each word loses its contexts before and gains those after it."""
     lost = F.struct(F.col("symbols").alias("symbols"), (-F.col("freq")).alias("freq"))
     gained = F.struct(F.col("merged").alias("symbols"), F.col("freq").alias("freq"))
-    versions = changed.select(F.explode(F.array(lost, gained)).alias("version")).select("version.*")
-    moved = contexts.unionByName(_exploded(versions, F.col("symbols"), F.col("freq")))
+    versions = words.select(F.explode(F.array(lost, gained)).alias("version")).select("version.*")
+    return _exploded(versions, F.col("symbols"), F.col("freq"))
+
+
+def summed_contexts(*parts: DataFrame) -> DataFrame:
+    """Context counts as the sum of counts and changes; contexts that no word has any more are left out."""
+    moved = functools.reduce(DataFrame.unionByName, parts)
     return moved.groupBy("left", "mid", "right").agg(F.sum("count").alias("count")).filter("count > 0")
 
 
@@ -158,21 +169,151 @@ def open_words(words: DataFrame) -> DataFrame:
     return words.select(F.col("merged").alias("symbols"), "freq").filter(F.col("symbols").contains(" "))
 
 
+def pair_index(words: DataFrame) -> DataFrame:
+    """Inverted index ``(pair, id)`` of words ``(id, symbols)``: a pair is two adjacent symbols with a blank between them.
+
+    It stays in the partitions of the words, sorted by pair in each, so a pair that most words hold is in no single task, and
+    a scan for a few pairs skips most pages.
+    """
+    symbols = words.select("id", F.split("symbols", " ").alias("at"))
+    held = F.zip_with(
+        F.slice("at", F.lit(1), F.size("at") - 1),
+        F.slice("at", F.lit(2), F.size("at") - 1),
+        lambda left, right: F.concat_ws(" ", left, right),
+    )
+    return symbols.select(F.explode(F.array_distinct(held)).alias("pair"), "id").sortWithinPartitions("pair")
+
+
+class WordTables:
+    """The open words of a training run and the counts of their symbols in context, from round to round.
+
+    As long as a round changes many words, it rewrites all of them. Once a round changes at most `SPARSE_SHARE` of them, the words are
+    numbered and an inverted index from pairs to numbers is written. From then on a round looks up the words that hold a merged pair,
+    replays on them the rounds since the index was written, and writes the changes of the counts alone. After `replayed`
+    rounds words, index and counts are written anew.
+
+    A merged pair may hold symbols that are younger than the index. The last old symbol of its left part and the first one of its right
+    part were neighbours when the index was written, so that pair is the one to look up. It may find words that hold the
+    merged pair no more; these lose and gain the same contexts.
+    """
+
+    def __init__(self, words: DataFrame, sparse_share: float, replayed: int):
+        self._sparse_share, self._replayed = sparse_share, replayed
+        self._steps = StepTables(words.sparkSession)
+        self._words = self._steps.write(split_symbols(words))
+        self._contexts = self._steps.write(context_counts(self._words))
+        self._index: DataFrame | None = None
+        self._numbered = 0
+        self._changes: list[DataFrame] = []
+        self._pending: list[list[tuple[str, str]]] = []
+        self._first: dict[str, set[str]] = {}
+        self._last: dict[str, set[str]] = {}
+        #: Rounds that rewrote all words, rounds that looked their words up, and index builds.
+        self.dense = self.sparse = self.builds = 0
+
+    def leading(self, max_piece_length: int, limit: int) -> list:
+        pairs = pair_counts(self._counts())
+        return best_pairs(pairs.filter("count > 0"), max_piece_length, limit).collect()
+
+    def nearby(self, pairs: list[tuple[str, str]]) -> list:
+        """The contexts of a few pairs; these are bounded by the pairs and the symbols beside them."""
+        return summed_contexts(contexts_of(self._counts(), pairs)).collect()
+
+    def apply(self, merges: list[tuple[str, str]]) -> None:
+        if self._index is None:
+            self._rewrite(merges)
+        else:
+            self._look_up(merges)
+
+    def clear(self) -> None:
+        self._steps.clear()
+
+    def _counts(self) -> DataFrame:
+        """Counts and changes, not yet summed."""
+        return self._steps.together(self._contexts, *self._changes)
+
+    def _rewrite(self, merges: list[tuple[str, str]]) -> None:
+        self.dense += 1
+        seen = Observation()
+        differs = F.col("merged") != F.col("symbols")
+        words = merge_words(self._words, merges)
+        merged = self._steps.write(words.observe(seen, F.count("*").alias("words"), F.count_if(differs).alias("changed")))
+        self._contexts = self._steps.write(summed_contexts(self._contexts, context_changes(merged.filter(differs))))
+        self._words = open_words(merged)
+        if seen.get["changed"] <= self._sparse_share * seen.get["words"]:
+            self._write_index()
+        else:
+            self._steps.keep(merged, self._contexts)
+
+    def _write_index(self) -> None:
+        self.builds += 1
+        seen = Observation()
+        numbered = self._words.withColumn("id", F.monotonically_increasing_id())
+        self._words = self._steps.write(numbered.observe(seen, F.count("*").alias("words")))
+        self._numbered = seen.get["words"]
+        self._index = self._steps.write(pair_index(self._words))
+        self._changes, self._pending, self._first, self._last = [], [], {}, {}
+        self._steps.keep(self._words, self._index, self._contexts)
+
+    def _look_up(self, merges: list[tuple[str, str]]) -> None:
+        self.sparse += 1
+        wanted = {
+            f"{last} {first}"
+            for left, right in merges
+            for last in self._last.get(left, {left})
+            for first in self._first.get(right, {right})
+        }
+        found = self._index.filter(" or ".join(f"pair = {_sql_string(pair)}" for pair in sorted(wanted)))
+        numbers = found.select("id").distinct()
+        if self._numbered * NUMBER_BYTES <= BROADCAST_LIMIT_BYTES:
+            numbers = F.broadcast(numbers)
+        else:
+            # written first, as it is counted before it is joined
+            numbers = broadcast_if_small(self._steps.write(numbers), NUMBER_BYTES)
+        held = self._words.join(numbers, "id", "left_semi")
+        before = held.select(self._replay().alias("symbols"), "freq")
+        changes = context_changes(merge_words(before, merges))
+        changes = changes.groupBy("left", "mid", "right").agg(F.sum("count").alias("count")).filter("count <> 0")
+        self._changes.append(self._steps.write(changes))
+        self._steps.keep(self._words, self._index, self._contexts, *self._changes)
+        self._pending.append(merges)
+        for left, right in merges:
+            # a piece that was there before the merge goes on standing for itself as well
+            for ends, part in ((self._first, left), (self._last, right)):
+                ends.setdefault(left + right, {left + right}).update(ends.get(part, {part}))
+        if len(self._pending) >= self._replayed:
+            self._contexts = self._steps.write(summed_contexts(self._counts()))
+            self._words = open_words(self._words.select(self._replay().alias("merged"), "freq"))
+            self._write_index()
+
+    def _replay(self) -> Column:
+        return functools.reduce(apply_merges, self._pending, F.col("symbols"))
+
+
 @dataclass
 class Training:
-    """Result of a training run: the merge list in order, the alphabet in order, and the rounds taken."""
+    """Result of a training run: the merge list in order, the alphabet in order, the rounds taken, those of them that
+    found their words by the index of pairs, and how often that index was written."""
 
     merges: list[tuple]
     characters: list[str]
     rounds: int
+    indexed_rounds: int = 0
+    index_builds: int = 0
 
 
-def train_merges(words: DataFrame, config: TrainingConfig, report: Callable[[int], None] = lambda done: None) -> Training:
+def train_merges(
+    words: DataFrame,
+    config: TrainingConfig,
+    report: Callable[[int], None] = lambda done: None,
+    sparse_share: float = SPARSE_SHARE,
+    replayed: int = REPLAYED_ROUNDS,
+) -> Training:
     """Learn merges from ``(word, freq)`` until the vocabulary is full or no pair is left; ``report`` hears of the merges after each round.
 
-    The driver sees the leading pairs of a round and their contexts, never words. Each round's tables are
-    written beside the checkpoints and those of the round before are deleted, so plans stay short, a lost executor
-    costs one round at most, and the disk in use does not grow with the rounds.
+    The driver sees the leading pairs of a round and their contexts, never words. Tables are written beside the
+    checkpoints and replaced ones are deleted, so plans stay short, a lost executor costs one round at most, and the disk in
+    use does not grow with the rounds. ``sparse_share`` and ``replayed`` steer the cost alone (see :class:`WordTables`).
     """
     spark = words.sparkSession
     words = words.persist(StorageLevel.MEMORY_AND_DISK)
@@ -190,18 +331,16 @@ def train_merges(words: DataFrame, config: TrainingConfig, report: Callable[[int
     known = set(characters)
     # a small table of words is much work to expand, so it keeps all its partitions
     spread = words.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
-    steps = StepTables(spark)
-    symbols = steps.write(split_symbols(spread))
-    contexts = steps.write(context_counts(symbols))
+    tables = WordTables(spread, sparse_share, replayed)
     words.unpersist()
     merges: list[tuple] = []
     rounds = 0
     while len(known) < capacity:
-        leading = best_pairs(pair_counts(contexts), config.max_piece_length, config.candidates_per_round).collect()
+        leading = tables.leading(config.max_piece_length, config.candidates_per_round)
         if not leading:
             break
         pairs = [(row["left"], row["right"], row["count"]) for row in leading]
-        nearby = contexts_of(contexts, [pair[:2] for pair in pairs]).collect()
+        nearby = tables.nearby([pair[:2] for pair in pairs])
         plan = RoundPlan(pairs, nearby, known, config.max_piece_length)
         accepted = plan.take(capacity - len(known))
         for left, right, count in accepted:
@@ -211,12 +350,9 @@ def train_merges(words: DataFrame, config: TrainingConfig, report: Callable[[int
             break
         rounds += 1
         report(len(merges))
-        merged = steps.write(merge_words(symbols, [pair[:2] for pair in accepted]))
-        contexts = steps.write(update_contexts(contexts, merged))
-        steps.keep(merged, contexts)
-        symbols = open_words(merged)
-    steps.clear()
-    return Training(merges, characters, rounds)
+        tables.apply([pair[:2] for pair in accepted])
+    tables.clear()
+    return Training(merges, characters, rounds, tables.sparse, tables.builds)
 
 
 def merge_table(spark: SparkSession, training: Training) -> DataFrame:

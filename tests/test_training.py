@@ -353,6 +353,36 @@ def test_batched_merges_equal_one_at_a_time(spark, seed, candidates, max_length)
     assert all(result == merged_by_hand(words, 30, max_length) for result in results)
 
 
+@pytest.mark.parametrize(
+    ("seed", "share", "replayed", "pieces", "max_length"),
+    [(4, 1.0, 3, 24, 24), (5, 1.0, 100, 24, 24), (6, 0.3, 1, 12, 3)],
+)
+def test_rounds_by_the_pair_index_equal_one_at_a_time(spark, monkeypatch, seed, share, replayed, pieces, max_length):
+    """Few letters make repeated symbols and pieces of several derivations, whose pairs the index holds under older ones."""
+    if seed == 5:
+        # too many words for a broadcast by their number alone: what is looked up is written and counted
+        monkeypatch.setattr(vocab_training, "BROADCAST_LIMIT_BYTES", 64)
+    draw = random.Random(seed)
+    words = Counter()
+    for _ in range(150):
+        words["▁" + "".join(draw.choice("aab'\\c") for _ in range(draw.randint(0, 12)))] += draw.randint(1, 30)
+    letters_seen = len(set("".join(words)))
+    config = TrainingConfig(
+        vocab_size=vocab_training.FIRST_FREE_ID + letters_seen + pieces, candidates_per_round=50, max_piece_length=max_length
+    )
+    frame = spark.createDataFrame(list(words.items()), "word string, freq long").repartition(3)
+    trained = vocab_training.train_merges(frame, config, sparse_share=share, replayed=replayed)
+    assert [merge[1:3] + merge[4:] for merge in trained.merges] == merged_by_hand(words, pieces, max_length)
+    assert trained.indexed_rounds >= 1 and trained.index_builds >= 1
+    assert replayed == 100 or trained.index_builds >= trained.indexed_rounds // replayed
+
+
+def test_pair_index_holds_each_pair_of_a_word_once(spark):
+    words = spark.createDataFrame([(1, "a b a b"), (2, "b a"), (3, "ab c")], "id long, symbols string")
+    held = sorted(tuple(row) for row in vocab_training.pair_index(words).select("id", "pair").collect())
+    assert held == [(1, "a b"), (1, "b a"), (2, "b a"), (3, "ab c")]
+
+
 @pytest.fixture(scope="module")
 def small_model(spark):
     text = "the then there this that thing other another the the of often on one once\n" * 3
