@@ -12,8 +12,15 @@ from pyspark.sql import functions as F
 
 from lexmill.config import MODEL_TYPE, SPECIAL_TOKENS
 from lexmill.functions.normalize import NORMALIZER_NAME, normalize
-from lexmill.functions.text import SPACE_MARKER, visible
-from lexmill.operators.vocab_training import BYTE_PIECES, merge_table, special_ids, vocab_rows, vocab_table
+from lexmill.functions.text import SPACE_MARKER, decode_hex, visible
+from lexmill.operators.vocab_training import (
+    BYTE_PIECES,
+    merge_rows,
+    merge_table,
+    special_ids,
+    vocab_rows,
+    vocab_table,
+)
 
 # Fixed value: how a decoder shows the unknown token.
 UNKNOWN_SURFACE = " ⁇ "
@@ -53,6 +60,30 @@ def segment_word(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
     return [symbol for symbol in symbols if symbol is not None]
 
 
+def _write_rows(rows: DataFrame, path: str) -> None:
+    """Rows as tab-separated lines under a header, in one file: a vocabulary's worth at most."""
+    written = rows.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True)
+    written.option("quote", "").option("emptyValue", "").csv(path)
+
+
+def _read_rows(spark: SparkSession, path: str, names: tuple[str, ...], numbers: tuple[str, ...]) -> DataFrame:
+    """Lines of a written file by field name. A line of another number of fields and a number that is none are errors."""
+    fields = F.split("value", "\t", -1)
+
+    def wrong(what: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"{what} in {path}: "), F.col("value")))
+
+    lines = spark.read.text(path).filter(F.col("value") != "\t".join(names))
+    whole = F.when(F.size(fields) == len(names), fields).otherwise(wrong("wrong number of fields").cast("array<string>"))
+    columns = []
+    for place, name in enumerate(names):
+        field = F.element_at(whole, place + 1)
+        if name in numbers:
+            field = F.when(field.rlike(r"^[0-9]{1,18}\z"), field.cast("long")).otherwise(wrong("bad number").cast("long"))
+        columns.append(field.alias(name))
+    return lines.select(*columns)
+
+
 class SubwordModel:
     """A vocabulary and its merges. Both are bounded by the vocabulary size, so they travel as constants."""
 
@@ -88,6 +119,45 @@ class SubwordModel:
         self.vocab.coalesce(1).write.mode("overwrite").parquet(f"{path}/vocab")
         self.merges.coalesce(1).write.mode("overwrite").parquet(f"{path}/merges")
 
+    def save_text(self, path: str) -> None:
+        """Write the vocabulary and the merges as tab-separated files, pieces in hex, below ``path``."""
+        _write_rows(self.vocab_rows(), f"{path}/vocab")
+        _write_rows(merge_rows(self.merges), f"{path}/merges")
+
+    @classmethod
+    def load_text(cls, spark: SparkSession, path: str) -> SubwordModel:
+        """The model from the files of :meth:`save_text`; its ids are those of the model that was written.
+
+        The vocabulary names each piece once, but a piece may have several pairs that merge into it, each with a rank of its
+        own, so the ranks come from the merges. Errors: a line with too few or too many fields, a bad number, an odd or bad hex
+        payload, a kind that is neither special nor piece, gaps or repeats in ids or ranks, a merge whose piece the vocabulary lacks.
+        """
+        names = ("id", "kind", "label", "piece_hex", "visible_piece")
+        rows = _read_rows(spark, f"{path}/vocab", names, ("id",))
+        kind = F.col("kind")
+        problem = F.raise_error(F.concat(F.lit("unknown kind of vocabulary entry: "), kind)).cast("boolean")
+        special = F.when(kind.isin("special", "piece"), kind == "special").otherwise(problem)
+        vocab = rows.select(
+            F.col("id").cast("int").alias("id"), special.alias("special"), "label", decode_hex(F.col("piece_hex")).alias("piece")
+        )
+        names = ("rank", "left_hex", "right_hex", "count")
+        parts = _read_rows(spark, f"{path}/merges", names, ("rank", "count"))
+        parts = parts.select(
+            F.col("rank").cast("int").alias("rank"),
+            decode_hex(F.col("left_hex")).alias("left"),
+            decode_hex(F.col("right_hex")).alias("right"),
+            "count",
+        )
+        merges = parts.select("rank", "left", "right", F.concat("left", "right").alias("piece"), "count")
+        model = cls(spark, vocab, merges)
+        ranks = [row["rank"] for row in merges.select("rank").orderBy("rank").collect()]
+        if ranks != list(range(len(ranks))):
+            raise ValueError("merge ranks must run from 0 without gaps")
+        lacking = {left + right for left, right in model._ranks} - set(model.pieces)
+        if lacking:
+            raise ValueError(f"merges into pieces that the vocabulary lacks: {sorted(lacking)[:3]}")
+        return model
+
     @property
     def vocab_size(self) -> int:
         return len(self.pieces)

@@ -28,7 +28,7 @@ FIRST_FREE_ID = len(SPECIAL_TOKENS) + len(BYTE_PIECES)
 #: Once a round changes at most this share of the open words, later ones find theirs by an index of pairs.
 SPARSE_SHARE = 0.2
 #: Rounds that are replayed on the words found before all words and their index are written anew.
-REPLAYED_ROUNDS = 12
+REPLAYED_ROUNDS = 8
 #: Memory of one word number in a broadcast: eight bytes, a few times that when hashed.
 NUMBER_BYTES = 64
 
@@ -391,3 +391,10 @@ def vocab_rows(vocab: DataFrame) -> DataFrame:
         F.when(special, "").otherwise(encode_hex(F.col("piece"))).alias("piece_hex"),
         F.when(special, F.col("label")).otherwise(visible(F.col("piece"))).alias("visible_piece"),
     ).orderBy("id")
+
+
+def merge_rows(merges: DataFrame) -> DataFrame:
+    """The merges as they are written: ``rank, left_hex, right_hex, count``, by rank."""
+    return merges.select(
+        "rank", encode_hex(F.col("left")).alias("left_hex"), encode_hex(F.col("right")).alias("right_hex"), "count"
+    ).orderBy("rank")

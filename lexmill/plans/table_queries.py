@@ -604,6 +604,16 @@ def describe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("conv_id", "turn", _joined("ids").alias("ids"), pieces)
 
 
+def describe_tokens_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of :func:`describe_tokens` by the model that its written files give back."""
+    folder = _fresh_folder(spark)
+    merge_model(spark, sf_dir).save_text(folder)
+    model = SubwordModel.load_text(spark, folder)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", model.encode(F.col("text")).alias("ids"))
+    pieces = F.array_join(model.describe(F.col("ids")), "|").alias("pieces")
+    return turns.select("conv_id", "turn", _joined("ids").alias("ids"), pieces)
+
+
 def piece_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of the whole corpus by piece: each distinct word is encoded once."""
     model = merge_model(spark, sf_dir)
@@ -684,6 +694,7 @@ QUERIES = {
         pages_roundtrip,
         token_bytes,
         describe_tokens,
+        describe_tokens_loaded,
         piece_frequency,
         inspect_benchmark,
         held_out_eval,

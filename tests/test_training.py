@@ -421,6 +421,56 @@ def test_describe_and_tables(spark, small_model):
     assert any(row["visible_piece"].startswith("[ws]th") for row in rows)
 
 
+def ranks_in_order(model):
+    return sorted(model._ranks.items(), key=lambda entry: entry[1])
+
+
+def test_written_vocabulary_loads_back(spark, small_model, tmp_path):
+    small_model.save_text(str(tmp_path))
+    loaded = SubwordModel.load_text(spark, str(tmp_path))
+    assert (loaded.pieces, loaded.special_tokens) == (small_model.pieces, small_model.special_tokens)
+    assert ranks_in_order(loaded) == ranks_in_order(small_model)
+    texts = ["the other thing", "", "é😀 on  one\nonce", "▁ there\tthen", None]
+    frame = spark.createDataFrame([(text,) for text in texts], "t string")
+    ids = frame.select(small_model.encode(F.col("t")).alias("mine"), loaded.encode(F.col("t")).alias("theirs"))
+    assert all(row["mine"] == row["theirs"] for row in ids.collect())
+
+
+def test_a_piece_of_two_derivations_keeps_both_ranks(spark, tmp_path):
+    """``abc`` is a + bc first and ab + c later; the vocabulary names it once, the merges have both."""
+    merges = [(0, "b", "c", "bc", 9), (1, "a", "bc", "abc", 8), (2, "a", "b", "ab", 7), (3, "ab", "c", "abc", 2)]
+    trained = vocab_training.Training(merges, ["▁", "a", "b", "c"], 1)
+    SubwordModel.from_training(spark, trained).save_text(str(tmp_path))
+    loaded = SubwordModel.load_text(spark, str(tmp_path))
+    assert ranks_in_order(loaded) == [(("b", "c"), 0), (("a", "bc"), 1), (("a", "b"), 2), (("ab", "c"), 3)]
+    assert loaded.merges.orderBy("rank").first()["count"] == 9
+
+
+@pytest.mark.parametrize(
+    ("part", "at", "line", "problem"),
+    [
+        ("vocab", 5, "4\tpiece\tpiece_4\t3c3\t<0x00>", "malformed hex payload"),
+        ("vocab", 5, "4\tpiece\tpiece_4\tzz\t<0x00>", "malformed hex payload"),
+        ("vocab", 5, "9999\tpiece\tpiece_4\t3c\t<", "without gaps"),
+        ("vocab", 5, "4\tother\tpiece_4\t3c\t<", "unknown kind"),
+        ("vocab", 5, "4\tpiece\tpiece_4", "wrong number of fields"),
+        ("vocab", 5, "x\tpiece\tpiece_4\t3c\t<", "bad number"),
+        ("merges", 1, "70\t74\t68\t5", "merge ranks"),
+        ("merges", 1, "0\t71\t7a\t5", "vocabulary lacks"),
+    ],
+)
+def test_a_damaged_vocabulary_is_an_error(spark, small_model, tmp_path, part, at, line, problem):
+    small_model.save_text(str(tmp_path / "good"))
+    for name in ("vocab", "merges"):
+        lines = next((tmp_path / "good" / name).glob("part-*")).read_text(encoding="utf-8").split("\n")
+        if name == part:
+            lines[at] = line
+        (tmp_path / "bad" / name).mkdir(parents=True)
+        (tmp_path / "bad" / name / "part-0.csv").write_text("\n".join(lines), encoding="utf-8")
+    with pytest.raises(Exception, match=problem):
+        SubwordModel.load_text(spark, str(tmp_path / "bad"))
+
+
 def test_long_words_segment_quickly_and_leftmost_first():
     ranks = {("a", "a"): 0, ("aa", "aa"): 1, ("b", "a"): 2}
     assert segment_word("aaaaa", ranks) == ["aaaa", "a"]
