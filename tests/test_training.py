@@ -15,7 +15,7 @@ from lexmill import session
 from lexmill.config import TrainingConfig, WriteOptions
 from lexmill.functions import hashing
 from lexmill.functions.normalize import normalize
-from lexmill.operators import corpus, mix, sampling, stats, vocab_training
+from lexmill.operators import corpus, evaluate, mix, sampling, stats, vocab_training
 from lexmill.operators.merge_plan import merge_order
 from lexmill.operators.subword_model import SubwordModel, segment_word
 from lexmill.plans.artifacts import write_artifacts
@@ -405,6 +405,22 @@ def test_round_trip_of_any_text(spark, small_model):
         assert row["d"] == row["n"] and row["unk"] == 0 and (row["ids"] != []) == (row["n"] != "")
 
 
+def test_evaluation_by_distinct_words_equals_encoding_the_texts(spark, small_model):
+    texts = ["the other  thing the", "", None, "a▁b ▁ the", "▁", "one\n\non ce\n", " \n ", "é😀 the\tthe", "the other  thing the"]
+    frame = spark.createDataFrame([(text,) for text in texts], "text string")
+    ids = F.col("ids")
+    encoded = frame.select("text", small_model.encode(F.col("text")).alias("ids")).select(
+        F.size(ids).alias("tokens"), small_model.byte_fallback_count(ids).alias("fallback"), small_model.unknown_count(ids).alias("unknown")
+    )
+    expected = encoded.agg(F.sum("tokens"), F.sum("fallback"), F.sum("unknown")).first()
+    found = evaluate.evaluate_held_out(small_model, frame).first()
+    assert tuple(expected) == (found["held_out_token_count"], found["byte_fallback_token_count"], found["unknown_token_count"])
+    assert found["held_out_text_count"] == len(texts)
+    assert found["held_out_character_count"] == sum(len((text or "").encode()) for text in texts)
+    nothing = evaluate.evaluate_held_out(small_model, frame.filter("false")).first()
+    assert (nothing["held_out_text_count"], nothing["average_characters_per_token"]) == (0, 0)
+
+
 def test_describe_and_tables(spark, small_model):
     ids = spark.createDataFrame([([0, 3, 4 + 0x41],)], "ids array<int>")
     assert ids.select(small_model.describe(F.col("ids"))).first()[0] == ["<unk>", "<pad>", "<0x41>"]
