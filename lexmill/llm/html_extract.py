@@ -4,8 +4,12 @@ The standard library's parser streams a page's events. Every block-level tag end
 tags met on the way, and remembers the elements around it. Lines in menus, headers, footers, sidebars, notices,
 adverts, forms and comments are furniture and weigh nothing. The ratio of text to tags per line is smoothed by a Gaussian over
 its neighbours; lines over a threshold form clusters. The cluster with most text is the seed. The content region is the smallest
-``article`` or ``main`` around the seed's longest line, else the smallest element that holds most of the clusters' text; all its lines
-that are no furniture are kept, so that short paragraphs between long ones are not lost.
+``article`` or ``main`` around the seed's longest line, with the other outermost articles of the page that a cluster reaches, else the smallest element that holds most
+of the clusters' text; all its lines that are no furniture are kept, so that short paragraphs between long ones are not lost.
+
+Class and id names mark furniture outside an article by any of their words. Inside one, a name counts only as a whole, so that
+``search-results`` or ``tags-explained`` hide nothing, and a paragraph must have no other name. Open elements are counted by tag and an
+element knows its parent's answers, so the work grows with the page, however deep its tags are nested.
 
 Edge cases: a null page, an empty one, or one without text gives an empty text; unclosed and misnested tags are accepted, as are left out
 ones around head and body, a page
@@ -16,6 +20,7 @@ other columns are not read; nothing is dropped or capped by length.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -48,46 +53,62 @@ ENDED_BY_BLOCK = frozenset(["p"])
 ENDED_BY_SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 CONTAINERS = frozenset(["", *"article body center div html main section table tbody td tr".split()])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|ad-?(?:box|container|slot|unit|wrapper)|adverts?|advertisements?|advertorial|banners?|sponsor(?:ed|s)?|promos?|promotions?|nav(?:bar|igation)?|menus?|"
+_WORDS = (
+    r"(?:ads?|ad-?(?:box|container|slot|unit|wrapper)|adverts?|advertisements?|advertorial|banners?|sponsor(?:ed|s)?|promos?|promotions?|nav(?:bar|igation)?|menus?|"
     r"breadcrumbs?|sidebars?|side|aside|widgets?|footers?|foot|site-?header|page-?header|masthead|topbar|toolbar|comments?|"
     r"commentlist|disqus|replies|respond|reactions?|related|recommend(?:ed|ations?)?|more-?stories|share|sharing|social|"
     r"newsletter|subscribe|subscription|signup|sign-?up|login|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|"
-    r"pagination|pager|tags|taglist|legal|copyright|disclaimer|skip-?link|search)(?=$|[\s_-])"
+    r"pagination|pager|tags|taglist|legal|copyright|disclaimer|skip-?link|search)"
+)
+_NAMES = re.compile(rf"(?:^|[\s_-]){_WORDS}(?=$|[\s_-])")
+#: Words that say where or in what shape a thing stands, not what it is.
+_SHAPES = (
+    r"(?:site|page|post|article|entry|main|inline|in|top|bottom|left|right|the|box|container|wrapper|wrap|slot|unit|block|bar|area|section|"
+    r"panel|list|item|items|link|links|button|buttons|icon|icons|form|\d+)"
 )
+_WHOLE_NAME = re.compile(rf"(?:{_SHAPES}[_-]+)*{_WORDS}(?:[_-]+(?:{_SHAPES}|{_WORDS}))*")
 #: A tag that the end of the page cuts off is no text.
 _CUT_TAG = re.compile(r"<[a-zA-Z/!][^<>]*\Z")
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar note".split())
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "hidden", "furniture", "article", "depth")
+    """An open or closed element; what holds for its parent is settled when it opens."""
+
+    __slots__ = ("tag", "parent", "hidden", "furniture", "article", "outermost", "depth", "inline", "ends", "held", "inside")
 
     def __init__(self, tag: str, parent: _Element | None, attributes: list[tuple[str, str | None]]) -> None:
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
+        #: Tags that are open inside this block without another block around them.
+        self.inline: dict[str, int] = {} if tag in BLOCKS or not parent else parent.inline
+        #: What an opening block of a tag closes from here, once asked.
+        self.ends: dict[str, _Element | None] | None = None
+        self.held, self.inside = 0.0, False
         held = dict(attributes)
         role = (held.get("role") or "").lower()
         style = (held.get("style") or "").replace(" ", "").lower()
         gone = tag in HIDDEN or "hidden" in held or "display:none" in style or held.get("aria-hidden") == "true"
         self.hidden = gone or bool(parent and parent.hidden)
-        self.article = tag in ("article", "main") or role in ("main", "article")
-        named = False
-        if tag in BLOCKS or tag in ("span", "a") or "-" in tag:
-            names = " ".join(filter(None, (held.get("class"), held.get("id")))).lower()
-            named = bool(names) and bool(_NAMES.search(names))
-        marked = tag in FURNITURE or role in _ROLES or named and tag not in ("html", "body", "article", "main")
+        names = " ".join(filter(None, (held.get("class"), held.get("id")))).lower()
+        around = parent.article if parent else None
+        #: The innermost article or main that holds the element, itself included; the outermost ``article`` alone.
+        self.article = self if tag in ("article", "main") or role in ("main", "article") else around
+        self.outermost = parent.outermost if parent else None
+        if self.outermost is None and (tag == "article" or role == "article") and not any(map(_WHOLE_NAME.fullmatch, names.split())):
+            self.outermost = self
+        marked = tag in FURNITURE or role in _ROLES or bool(names) and self._named(names, around is not None)
         self.furniture = marked or bool(parent and parent.furniture)
-        if tag in HEADINGS and parent and parent.tag in ("header", "hgroup") and parent.within_article():
+        if tag in HEADINGS and parent and parent.tag in ("header", "hgroup") and parent.article:
             self.furniture = parent.parent.furniture  # an article's own header holds its headline
 
-    def within_article(self) -> bool:
-        element = self
-        while element:
-            if element.article:
-                return True
-            element = element.parent
-        return False
+    def _named(self, names: str, in_article: bool) -> bool:
+        """Whether class and id make the element furniture."""
+        if self.tag in ("html", "body", "article", "main") or not (self.tag in BLOCKS or self.tag in ("span", "a") or "-" in self.tag):
+            return False
+        if not in_article:
+            return bool(_NAMES.search(names))
+        return (all if self.tag == "p" else any)(map(_WHOLE_NAME.fullmatch, names.split()))
 
 
 class _Lines(HTMLParser):
@@ -96,6 +117,8 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.top = _Element("", None, [])
+        self.elements = [self.top]
+        self._open: Counter = Counter()
         self.lines: list[tuple[_Element, str, int]] = []
         self._parts: list[str] = []
         self._tags = 0
@@ -121,42 +144,64 @@ class _Lines(HTMLParser):
             opened = _Element(tag, self.top, attributes)
             if opened.furniture and not self.top.furniture:
                 self.end_line()
+            self._open[tag] += 1
+            if tag not in BLOCKS:
+                opened.inline[tag] = opened.inline.get(tag, 0) + 1
+            self.elements.append(opened)
             self.top = opened
 
     def handle_startendtag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attributes)  # the slash means nothing in HTML
 
-    def _close_head(self) -> None:
-        for element in _around(self.top):
-            if element.tag == "head" and element.parent:
-                self.top = element.parent
+    def _close(self, element: _Element) -> None:
+        """Close ``element`` and all that is open inside it."""
+        while True:
+            closed = self.top
+            self._open[closed.tag] -= 1
+            if closed.tag not in BLOCKS:
+                closed.inline[closed.tag] -= 1
+            self.top = closed.parent
+            if closed is element:
                 return
 
+    def _nearest(self, tag: str) -> _Element:
+        return next(element for element in _around(self.top) if element.tag == tag)
+
+    def _close_head(self) -> None:
+        if self._open["head"]:
+            self._close(self._nearest("head"))
+
     def _close_implied(self, tag: str) -> None:
+        """Close what an opening block ends; each element remembers the answer for the tag, so no stretch is walked twice."""
         limits = ENDED_BY_SAME.get(tag, ())
-        element = self.top
-        while element.parent:
+        found, passed, element = None, [], self.top
+        while element.parent and not (element.ends and tag in element.ends):
+            passed.append(element)
             if element.tag in ENDED_BY_BLOCK or limits and element.tag == tag:
-                self.top = element.parent
-                return
-            if element.tag in BLOCKS:
-                if not limits or element.tag in limits:
-                    return
+                found = element
+                break
+            if element.tag in BLOCKS and (not limits or element.tag in limits):
+                break
             element = element.parent
+        else:
+            found = element.ends[tag] if element.parent else None
+        for element in passed:
+            if element.ends is None:
+                element.ends = {}
+            element.ends[tag] = found
+        if found:
+            self._close(found)
 
     def handle_endtag(self, tag: str) -> None:
         self._tags += 1
         if tag in BLOCKS:
             self.end_line()
-        element = self.top
-        while element.parent and element.tag != tag:
-            if tag not in BLOCKS and element.tag in BLOCKS:
-                return  # an inline end tag does not close the block around it
-            element = element.parent
-        if element.parent:
+        # an inline end tag does not close the block around it
+        if (self._open if tag in BLOCKS else self.top.inline).get(tag):
+            element = self._nearest(tag)
             if element.furniture and not element.parent.furniture:
                 self.end_line()
-            self.top = element.parent
+            self._close(element)
 
     def handle_data(self, data: str) -> None:
         if self.top.tag == "head" and data.strip():
@@ -187,26 +232,25 @@ def _around(element: _Element | None) -> Iterator[_Element]:
         element = element.parent
 
 
-def _region(lines: list[tuple[_Element, str, int]]) -> _Element | None:
-    """The element that holds the content, or None on a page of furniture alone."""
+def _regions(lines: list[tuple[_Element, str, int]], elements: list[_Element]) -> list[_Element]:
+    """The elements that hold the content; none on a page of furniture alone."""
     weights = np.array([0.0 if element.furniture else float(len(text)) for element, text, _ in lines])
     if not weights.any():
-        return None
+        return []
     tags = np.array([max(1, tags) for _, _, tags in lines])
     clusters = _clusters(smoothed(weights / tags))
     seed = max(clusters, key=lambda run: weights[run].sum())
-    longest = lines[seed[np.argmax(weights[seed])]][0]
-    named = [element for element in _around(longest) if element.article]
+    named = lines[seed[np.argmax(weights[seed])]][0].article
+    reached = [line for line in np.concatenate(clusters).tolist() if weights[line]]
     if named:
-        return named[0]
-    held: dict[_Element, float] = {}
-    for run in clusters:
-        for line in run:
-            for element in _around(lines[line][0]):
-                held[element] = held.get(element, 0.0) + weights[line]
-    most = REGION_SHARE * max(held.values())
-    holders = [element for element in held if held[element] >= most and element.tag in CONTAINERS]
-    return max(holders, key=lambda element: element.depth)
+        return [named, *{lines[line][0].outermost for line in reached if lines[line][0].outermost}]
+    for line in reached:
+        lines[line][0].held += weights[line]
+    for element in reversed(elements[1:]):  # an element stands behind its parent
+        element.parent.held += element.held
+    most = REGION_SHARE * elements[0].held
+    holders = [element for element in elements if element.held >= most and element.tag in CONTAINERS]
+    return [max(holders, key=lambda element: element.depth)]
 
 
 def main_text(html: str) -> str:
@@ -215,17 +259,11 @@ def main_text(html: str) -> str:
     parser.feed(_CUT_TAG.sub("", html))
     parser.close()
     parser.end_line()
-    region = _region(parser.lines)
-    if region is None:
-        return ""
-    inside: dict[_Element, bool] = {}
-
-    def within(element: _Element) -> bool:
-        if element not in inside:
-            inside[element] = any(holder is region for holder in _around(element))
-        return inside[element]
-
-    return " ".join(text for element, text, _ in parser.lines if not element.furniture and within(element))
+    for region in _regions(parser.lines, parser.elements):
+        region.inside = True
+    for element in parser.elements[1:]:
+        element.inside = element.inside or element.parent.inside
+    return " ".join(text for element, text, _ in parser.lines if element.inside and not element.furniture)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

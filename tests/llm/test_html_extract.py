@@ -3,6 +3,7 @@ from __future__ import annotations
 import html
 import random
 import re
+import time
 
 import pytest
 from lexmill.llm.html_extract import extract, main_text
@@ -67,3 +68,28 @@ def test_rows(spark):
 )
 def test_pages_that_leave_out_tags_around_head_and_body(page, expected):
     assert main_text(page) == expected
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        (f"<article><p>{LONG}</p><p class='tags-explained legal'>kept</p><div class='search-results'><p>found</p></div></article>", f"{LONG.strip()} kept found"),
+        (f"<article><p>{LONG}</p><div class='share-buttons'>s</div><div class='inline-ad box'>b</div><p class='notice'>n</p></article>", LONG.strip()),
+        (f"<div class='search-results'><p>{LONG}</p></div><article><p>{LONG}</p></article>", LONG.strip()),
+        (f"<article><p>{LONG}</p></article><nav>m</nav><article><h2>Two</h2><p>{LONG}</p></article>", f"{LONG.strip()} Two {LONG.strip()}"),
+        (f"<main><h1>H</h1><article><p>{LONG}</p></article><article><p>{LONG}</p></article></main>", f"{LONG.strip()} {LONG.strip()}"),
+        (f"<article><p>{LONG}</p></article><article class='comment'><p>{LONG}</p></article>", LONG.strip()),
+        (f"<article><p>{LONG}</p></article><aside><article><p>{LONG}</p></article></aside>", LONG.strip()),
+    ],
+)
+def test_names_inside_an_article_and_further_articles(page, expected):
+    assert main_text(page) == expected
+
+
+@pytest.mark.parametrize("opened", ["<div>", "<ul><li>", "<b>", "<dl><dd><div>", "<p><i>", "<section></div>", "<main><u>"])
+def test_depth_costs_no_more_than_length(opened):
+    count = 20_000
+    started = time.process_time()
+    text = main_text(opened * count + "text <dd></dd></u></p>" * count)
+    assert text.split() == ["text"] * count
+    assert time.process_time() - started < 10  # a walk to the top for each tag takes minutes
