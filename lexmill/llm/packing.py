@@ -39,13 +39,17 @@ from lexmill.llm.common import SLICE_ROWS, checkpointed, keyed_texts
 VOCABULARY_PATH = public_tokenizers.path("word_bpe_49k.json")
 CLOSING_ID = 0
 #: Entries of a generation of a worker's two memos, of runs without white space and of words: about 180 MB, or 80 MB.
-LARGE_MEMOS = (300_000, 150_000)
+LARGE_MEMOS = (150_000, 300_000)
 SMALL_MEMOS = (100_000, 100_000)
 
 #: Python splits at these too, the vocabulary's normaliser does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-#: The vocabulary's pattern for lower-case ASCII.
-_ASCII_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: The vocabulary's pattern for lower-case Latin-1, where its normaliser does no more than to lower the case; white space is in no match.
+_LETTERS, _NUMBERS, _BLANKS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+_LATIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_BLANKS}{_LETTERS}{_NUMBERS}]+")
+#: The vocabulary's name of each byte: a printable one is the character of its number, the others follow from 256 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_NAMES = {byte: 256 + place for place, byte in enumerate(sorted({*range(256)} - _PRINTABLE))}
 _SPACES = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 _WHITE = re.compile(f"[{''.join(map(chr, _SPACES))}]+")
 
@@ -75,30 +79,50 @@ class Capacity:
 
 
 class WordVocabulary:
-    """Ids of texts by the public word vocabulary. It drops white space, so texts are encoded word by word, with a memo."""
+    """Ids of texts by the public word vocabulary. It drops white space, so texts are encoded word by word, with a memo.
+
+    Texts of Latin-1 characters alone are cut where the vocabulary's own pattern cuts, and its merges are asked for the words; other
+    texts are cut at white space, and what of them is not Latin-1 goes through the whole vocabulary, normaliser included.
+    """
 
     def __init__(self, path: str, memos: tuple[int, int] = LARGE_MEMOS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        self._model = Tokenizer.from_file(path)
+        self._whole = Tokenizer.from_file(path)
+        self._merges = self._whole.model
         self._memo = Memo(self._encode_chunk, memos[0])
         self._words = Memo(self._encode_word, memos[1])
 
+    def _encode_latin(self, text: str) -> bytes | None:
+        """None for a text with other characters or one that may hold a special token."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        if "<|" in text:
+            return None
+        return b"".join(map(self._words.__getitem__, _LATIN_WORDS.findall(text.lower())))
+
     def _encode_chunk(self, chunk: str) -> bytes:
-        """A run of ASCII is cut where the vocabulary's own pattern cuts it, since its words repeat more than it does."""
-        if not chunk.isascii() or "<|" in chunk:
-            return self._encode_word(chunk)
-        return b"".join(map(self._words.__getitem__, _ASCII_WORDS.findall(chunk.lower())))
+        found = self._encode_latin(chunk)
+        if found is None:
+            ids = self._whole.encode(chunk, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        return found
 
     def _encode_word(self, word: str) -> bytes:
-        ids = self._model.encode(word, add_special_tokens=False).ids
+        named = word.encode().decode("latin-1").translate(_BYTE_NAMES)
+        ids = [token.id for token in self._merges.tokenize(named)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        words = _WHITE.split(text) if _SEPARATORS.search(text) else text.split()
-        return b"".join(map(self._memo.__getitem__, words))
+        found = self._encode_latin(text)
+        if found is None:
+            words = _WHITE.split(text) if _SEPARATORS.search(text) else text.split()
+            found = b"".join(map(self._memo.__getitem__, words))
+        return found
 
 
 @cache

@@ -96,3 +96,15 @@ def test_documents(spark, library):
     assert len({r.sequence_id for r in got}) <= one_at_a_time([row[3] for row in wanted], pk.Capacity()) + 1
     assert tokens == sum(r.length for r in got)
     assert pk.pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_ids_equal_the_library_on_any_characters(library):
+    coder = pk.vocabulary(pk.VOCABULARY_PATH)
+    narrow = [chr(code) for code in range(256)]
+    wide = narrow + list("ΣσςİıŒœŠ’“—…中文한̧́ ﻿😀ﬁſ")
+    draw = random.Random(3)
+    texts = [around.replace("x", one) for one in narrow for around in ("x", "axb", "xxx", "a' x's")]
+    texts += ["".join(draw.choice(kind) for _ in range(draw.randrange(25))) + end for kind in (narrow, wide) for end in ("", " 'LL can'T <| <|x") for _ in range(800)]
+    for text in texts:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == ids, text
