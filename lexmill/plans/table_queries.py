@@ -13,13 +13,15 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.config import IngestConfig, TrainingConfig
+from lexmill.config import IngestConfig, TrainingConfig, WriteOptions
 from lexmill.functions import hashing, text as tx
 from lexmill.functions.normalize import normalize, null_to_empty
 from lexmill.operators import corpus, evaluate, mix, ordering, sampling, sharding, stats, vocab_training
 from lexmill.operators.subword_model import SubwordModel
 from lexmill.plans import index as corpus_index
 from lexmill.plans import ingest
+from lexmill.plans.artifacts import write_artifacts
+from lexmill.plans.training import train_vocabulary
 from lexmill.session import cut_lineage, ensure_checkpoint_dir, spread_scan
 from lexmill.sources import exports, files, parquet_text, text_lines
 from lexmill.sources.snapshots import Snapshots
@@ -35,6 +37,10 @@ CAP_LINES_PER_DOCUMENT = 5
 VOCAB_SIZE = 512
 #: New pieces of the merge query.
 MERGE_PIECES = 48
+#: Documents of a file and rows of a row group in the query that counts row groups.
+FILE_IDS, GROUP_ROWS = 1000, 64
+#: New pieces of the training run whose artifacts are read back.
+RUN_PIECES = 8
 
 CONFIG = TrainingConfig(vocab_size=VOCAB_SIZE)
 
@@ -340,21 +346,38 @@ def text_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def jsonl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The export records written as JSON Lines under their paths and read back."""
-    folder, records = _fresh_folder(spark), cut_lineage(export_records(spark, sf_dir))
+def _write_exports(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The export records as JSON Lines under their paths."""
+    records = cut_lineage(export_records(spark, sf_dir))
     for path in mix.EXPORT_PATHS:
         own = records.filter(F.col("relative_path") == path).drop("relative_path", "record_hash")
         own.write.json(f"{folder}/{path}")
-    read = exports.read_exports(spark, folder, list(mix.EXPORT_PATHS))
-    path = F.regexp_extract("relative_path", "^(.+[.]jsonl)/", 1)
-    return read.withColumn("relative_path", path).drop("record_hash")
+
+
+def jsonl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export records written as JSON Lines under their paths and read back."""
+    folder = _fresh_folder(spark)
+    _write_exports(spark, sf_dir, folder)
+    return exports.read_exports(spark, folder, list(mix.EXPORT_PATHS)).drop("record_hash")
 
 
 def ingest_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_records(spark, sf_dir).drop("input_bytes", "row_group_count")
 
 
+def ingest_row_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statuses, row groups included, of the documents as Parquet files: one for each stretch of ids, in row groups of a set number of rows."""
+    folder = _fresh_folder(spark)
+    stretch = F.floor(F.coalesce("doc_id", F.lit(0)) / F.lit(FILE_IDS)).cast("long")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", stretch.alias("stretch"))
+    limited = documents.repartition("stretch").write.option("parquet.block.row.count.limit", GROUP_ROWS)
+    limited.partitionBy("stretch").parquet(folder)
+    stretch_of = F.regexp_extract("relative_path", "^stretch=(-?[0-9]+)/", 1).cast("long").alias("stretch")
+    return ingest_records(spark, folder).select(
+        stretch_of, "status", "detected_text_column", "row_group_count", "rows_processed", "text_rows_written", "text_bytes_written"
+    )
+
+
 #: Text tables as they arrive in the queries that run an ingest: first the one group, later the other.
 ARRIVALS = (("documents", "benchmark"), ("pages", "conversations"))
 DAMAGED = "damaged.parquet"
@@ -566,6 +589,37 @@ def vocab_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_model(spark, sf_dir).vocab_rows()
 
 
+def training_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a whole training run wrote, read back: configuration, manifest, sources, vocabulary file and report.
+
+    The exports are JSON Lines under their paths and the corpus has a folder of text files for each source of the documents; all lines are selected.
+    """
+    folder = _fresh_folder(spark)
+    _write_exports(spark, sf_dir, folder)
+    shards = corpus_texts(spark, sf_dir).filter(~tx.is_supplemental(F.col("relative_path")))
+    shards.select(F.col("relative_path").alias("source"), F.col("text").alias("value")).write.partitionBy("source").text(f"{folder}/corpus")
+    letters = vocab_training.alphabet(words(spark, sf_dir)).count()
+    config = TrainingConfig(vocab_size=vocab_training.FIRST_FREE_ID + letters + RUN_PIECES, sample_cap=2**62)
+    corpus_root, index_path, options = f"{folder}/corpus", f"{folder}/index", WriteOptions(f"{folder}/out")
+    result = train_vocabulary(spark, folder, f"{folder}/dataset", corpus_root, index_path, config)
+    write_artifacts(result, config, options, corpus_root, index_path)
+    settings = spark.read.json(f"{options.manifests}/config").select("vocab_size", F.size("special_tokens").alias("special_token_names"))
+    counts = [
+        "learned_vocab_size", "special_token_count", "training_text_count", "scanned_training_text_count", "guaranteed_training_text_count",
+        "repeated_training_example_count", "total_training_characters", "held_out_text_count", "held_out_character_count",
+    ]
+    manifest = spark.read.json(f"{options.manifests}/manifest").select(*counts)
+    sources = spark.read.json(f"{options.manifests}/sources").filter("included_in_training")
+    kinds = sources.agg(F.count_if(F.col("kind") == tx.PARQUET_CORPUS).alias("has_corpus"), F.sum("text_count").alias("source_texts"))
+    model = SubwordModel.load_text(spark, options.manifests)
+    pieces = model.vocab.agg(F.count("*").alias("vocabulary_rows"), F.max("id").alias("last_id"))
+    report = spark.read.text(f"{options.reports}/training").agg(F.count_if(F.col("value").startswith("# ")).alias("report_titles"))
+    row = settings
+    for part in (manifest, kinds.select(F.col("has_corpus") > 0, "source_texts").toDF("has_corpus", "source_texts"), pieces, report):
+        row = row.join(part)  # each is one row
+    return row
+
+
 def encode_decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = subword_model(spark, sf_dir)
     encoded = texts_of(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", model.encode(F.col("text")).alias("ids"))
@@ -662,6 +716,7 @@ QUERIES = {
         text_file_lines,
         jsonl_records,
         ingest_file_stats,
+        ingest_row_groups,
         ingest_stream,
         ingest_resume,
         ingest_totals,
@@ -690,6 +745,7 @@ QUERIES = {
         pair_counts,
         bpe_merges,
         vocab_table,
+        training_artifacts,
         encode_decode_roundtrip,
         pages_roundtrip,
         token_bytes,

@@ -14,7 +14,8 @@ EXPORT_SCHEMA = "split string, normalized_input string, output_text string, exam
 def read_exports(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
     """``(relative_path, record_hash, split, normalized_input, output_text, example_id)``; missing fields are empty.
 
-    A line that is no JSON object counts as a record with empty fields.
+    A line that is no JSON object counts as a record with empty fields. An export may be a file or a folder of part files; either way
+    ``relative_path`` is the one of ``paths``.
     """
     records = (
         spark.read.schema(EXPORT_SCHEMA)
@@ -24,8 +25,10 @@ def read_exports(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
     )
     names = ("split", "normalized_input", "output_text", "example_id")
     fields = [F.coalesce(F.col(name), F.lit("")).alias(name) for name in names]
+    scanned = scanned_path(root)
+    of_export = [F.when(scanned.startswith(f"{path}/"), F.lit(path)) for path in paths]
     return records.select(
-        scanned_path(root).alias("relative_path"),
+        F.coalesce(*of_export, scanned).alias("relative_path"),
         row_hash(*[F.coalesce(F.col(name), F.lit("")) for name in (*names, "_corrupt")]).alias("record_hash"),
         *fields,
     )
