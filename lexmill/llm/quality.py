@@ -2,10 +2,11 @@
 
 Bagged trees are grown on the statistics of labelled texts; every path from a root is a rule, a conjunction of bounds. A
 logistic regression with a lasso penalty weighs the rules, and those that keep a weight are compiled into a Spark column
-expression. At most ``FIT_ROWS`` labelled rows are used, spread evenly by a hash of the id; fewer are all used.
+expression. At most about ``FIT_ROWS`` labelled rows are used, spread evenly by a hash of the id; fewer are all used. A tree grows on at
+most ``TREE_ROWS`` of them, drawn with replacement; the regression takes them all.
 Labels, ids, languages and sources are never inputs of a score.
 
-Edge cases: a null text is empty, and its statistics are zeros, for which the rules hold like for any other; the
+Edge cases: a null id is scored like any other, has no label, and its ``held_out`` is null; a null text is empty, and its statistics are zeros, for which the rules hold like for any other; the
 longest text is read whole; null labels are not learned from; without labelled rows of both kinds every score is
 the base rate; repeated rows are scored each on its own; an empty table gives an empty table.
 """
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from lexmill.llm.common import text_or_empty
 from lexmill.llm.toxicity import labelled
 
-FIT_ROWS = 20_000
+#: Most labelled rows that a fit uses, and most of them that one tree draws.
+FIT_ROWS, TREE_ROWS = 20_000, 4_000
 #: A text is good from this score on.
 THRESHOLD = 0.3
 #: The trees, and the bounds a feature is tried at.
@@ -138,7 +140,7 @@ def tree_rules(values: np.ndarray, labels: np.ndarray, seed: int = 0) -> list[Ru
     """The paths of bagged trees over balanced classes, without rules that hold for the same rows."""
     draw, found = np.random.default_rng(seed), set()
     weights = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
-    size = min(len(labels), 4_000)
+    size = min(len(labels), TREE_ROWS)
     for _ in range(TREES):
         rows = draw.integers(0, len(labels), size)
         _grow(values[rows], labels[rows], weights[rows], draw, (), found)

@@ -5,8 +5,9 @@ blanks. Lexicon entries are whole words or word beginnings; exception phrases ar
 a logistic function of the weighted hits by length, so one slur in a long text weighs less than in a short one.
 
 The lexicon is learned: from labelled texts, entries are words and word beginnings that toxic texts hold far more often
-than clean ones. At most ``FIT_ROWS`` labelled rows are used, spread evenly by a hash of the id; fewer are all used.
-The score of a text depends on its words alone. Edge cases: a null text is empty and gets the score of no hits; labels that
+than clean ones. At most about ``FIT_ROWS`` labelled rows are used, spread evenly by a hash of the id; fewer are all used. An entry
+must be in ``LEAST_TEXTS`` toxic texts, or in one of 500 toxic texts where that is more.
+The score of a text depends on its words alone. Edge cases: a null id is scored like any other, has no label, and its ``held_out`` is null; a null text is empty and gets the score of no hits; labels that
 are null are not learned from; without labelled rows of both kinds every score is the base rate; repeated rows are
 scored each on its own; an empty table gives an empty table; other columns are not read.
 """
@@ -183,7 +184,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learned: Column, mo
     usable = labels.filter(learned & F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
     usable = usable.groupBy("doc_id").agg(F.min("label").alias("label"))  # of labels that disagree the lower one
     share = min(1.0, most / max(1, usable.count()))
-    drawn = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    # the whole hash as a number within 0 and 1: the share may be far below a millionth
+    drawn = usable.filter(F.xxhash64("doc_id").cast("double") / F.lit(2.0**64) + F.lit(0.5) <= F.lit(share))
     texts = docs.select("doc_id", text_or_empty("text").alias("text"))
     return texts.join(F.broadcast(drawn), "doc_id").select("text", "label")
 

@@ -94,3 +94,10 @@ def test_without_labels_of_both_kinds(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     (row,) = tox.score(docs, tox.fit(docs, labels, F.lit(True))).collect()
     assert 0 <= row.score <= 1
+
+
+def test_labelled_rows_are_drawn_in_any_share(spark):
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    labels = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    drawn = {most: tox.labelled(docs, labels, "toxic", F.lit(True), most).count() for most in (0.0001, 600, 3000, 6000, 9000)}
+    assert drawn[0.0001] <= 1 and 500 < drawn[600] < 700 and 2800 < drawn[3000] < 3200 and drawn[6000] == drawn[9000] == 6000
