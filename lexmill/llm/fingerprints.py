@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraphs.
 
-A text is cut into paragraphs at line ends, a paragraph into clauses after punctuation, and a clause of more than 24 words
-into runs of 24. Each piece, with its number among equal pieces, becomes a 64-bit digest. A sketch adds every digest to
+A text is cut into paragraphs at line ends, a paragraph into clauses after punctuation, and a clause of more than 192 characters
+into runs of 24 words. Each piece, with its number among equal pieces, becomes a 64-bit digest. A sketch adds every digest to
 three of its cells: a count and two exclusive-or sums. Two sketches subtract cell by cell; peeling the cells that hold a
 single digest recovers those on one side only. If cells are left over, both texts are sketched again four times larger.
 The likeness of two texts is the Jaccard index that the recovered difference implies; it is exact.
