@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 import random
 
 import pytest
@@ -107,3 +108,15 @@ def test_lines_paths_and_kinds(spark):
         tx.utc_text(F.lit("2024-01-02 03:04:05").cast("timestamp")),
     )
     assert tuple(named.first()) == ("shard-000007.txt", "e1.input", None, 0.0, "2024-01-02T03:04:05Z")
+
+
+def test_long_strings_are_hashed_in_little_time(spark):
+    # byte by byte in an expression, these 30 MB took minutes; one string is longer than what is folded at once
+    keys = ["é" * 200_000, "", None] + ["x" * length for length in range(9_900, 10_000)] * 30
+    frame = spark.createDataFrame([(key,) for key in keys], "k string").repartition(4)
+    started = time.monotonic()
+    found = dict(frame.select("k", hashing.fnv_checksum(F.col("k")).alias("fnv")).distinct().collect())
+    assert time.monotonic() - started < 20
+    for key in (keys[0], "", "x" * 9_900, "x" * 9_999):
+        assert found[key] == f"fnv1a64:{fnv_by_hand(key.encode()):x}"
+    assert found[None] == found[""] and len(found) == 103
