@@ -377,6 +377,45 @@ def test_rounds_by_the_pair_index_equal_one_at_a_time(spark, monkeypatch, seed,
     assert replayed == 100 or trained.index_builds >= trained.indexed_rounds // replayed
 
 
+def test_phases_on_frequent_runs_equal_one_at_a_time(spark, monkeypatch):
+    """Phases of a few merges on runs of frequent pairs; rare letters between them make many words and few runs."""
+    for name, value in (("PHASE_MERGES", 5), ("PHASE_GROWTH", 0), ("SPARE_PAIRS", 1)):
+        monkeypatch.setattr(vocab_training, name, value)
+    sizes = []
+
+    class Seen(vocab_training.WordTables):
+        def __init__(self, symbols, *steering):
+            sizes.append(symbols.count())
+            super().__init__(symbols, *steering)
+
+    monkeypatch.setattr(vocab_training, "WordTables", Seen)
+    draw = random.Random(8)
+    words = Counter()
+    for _ in range(300):
+        rare = "".join(draw.choice("qxzé😀$") for _ in range(3))
+        words["▁" + draw.choice(["aab", "abab", "ab\\", "aaaa"]) + rare + draw.choice(["ba", "aaa", ""])] += draw.randint(1, 30)
+    letters_seen = len(set("".join(words)))
+    config = TrainingConfig(vocab_size=vocab_training.FIRST_FREE_ID + letters_seen + 17)
+    trained = vocab_training.train_merges(spark.createDataFrame(list(words.items()), "word string, freq long").repartition(3), config)
+    assert [merge[1:3] + merge[4:] for merge in trained.merges] == merged_by_hand(words, 17, 24)
+    assert len(sizes) > 2 and max(sizes[:2]) < 20 < len(words) / 5
+    # the end of all pairs is found through phases as well
+    few = {"▁ab": 3, "▁abc": 2, "▁q": 9}
+    full = vocab_training.train_merges(spark.createDataFrame(list(few.items()), "word string, freq long"), TrainingConfig(vocab_size=1000))
+    assert [merge[1:3] + merge[4:] for merge in full.merges] == merged_by_hand(Counter(few), 100, 24)
+
+
+def test_frequent_runs_are_cut_and_counted(spark):
+    words = spark.createDataFrame([("a b c", 2), ("x a b", 3), ("b c a b", 4), ("x", 5), ("c x", 6)], "symbols string, freq long").coalesce(1)
+    counts = {tuple(row) for row in vocab_training.adjacent_counts(words).collect()}
+    assert counts == {("a", "b", 9), ("b", "c", 6), ("x", "a", 3), ("c", "a", 4), ("c", "x", 6)}
+    assert vocab_training.phase_pairs(words, 24, 3) == ({("a", "b"), ("b", "c"), ("c", "x")}, 5)
+    assert vocab_training.phase_pairs(words, 24, 2) == ({("a", "b")}, 7)
+    assert vocab_training.phase_pairs(words, 1, 2)[1] == 1
+    runs = {tuple(row) for row in vocab_training.frequent_runs(words, {("a", "b"), ("b", "c")}).collect()}
+    assert runs == {("a b c", 2), ("a b", 7), ("b c", 4)}
+
+
 def test_pair_index_holds_each_pair_of_a_word_once(spark):
     words = spark.createDataFrame([(1, "a b a b"), (2, "b a"), (3, "ab c")], "id long, symbols string")
     held = sorted(tuple(row) for row in vocab_training.pair_index(words).select("id", "pair").collect())
