@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import sys
 from collections import Counter
 from pathlib import Path
 from urllib.parse import urlparse
@@ -15,7 +16,7 @@ from lexmill import session
 from lexmill.config import TrainingConfig, WriteOptions
 from lexmill.functions import hashing
 from lexmill.functions.normalize import normalize
-from lexmill.operators import corpus, evaluate, mix, sampling, stats, vocab_training
+from lexmill.operators import corpus, evaluate, mix, sampling, stats, subword_model, vocab_training
 from lexmill.operators.merge_plan import merge_order
 from lexmill.operators.subword_model import SubwordModel, segment_word
 from lexmill.plans.artifacts import write_artifacts
@@ -526,6 +527,29 @@ def test_a_damaged_vocabulary_is_an_error(spark, small_model, tmp_path, part, at
         SubwordModel.load_text(spark, str(tmp_path / "bad"))
 
 
+def test_decode_of_odd_ids(spark, small_model):
+    rows = [([4 + 0xC3, 4 + 0xA9, 4 + 0x41],), ([4 + 0xC3, 4 + 0x41],), ([0, None, 4 + 0x41],), ([],), (None,), ([4 + 0x42],)]
+    frame = spark.createDataFrame(rows, "ids array<int>").coalesce(1)
+    decoded = [row[0] for row in frame.select(small_model.decode(F.col("ids"))).collect()]
+    assert decoded == ["éA", "\ufffdA", "⁇ A", "", None, "B"]
+    empty = spark.createDataFrame([([],), (None,)], "ids array<int>").coalesce(1)
+    assert [row[0] for row in empty.select(small_model.decode(F.col("ids"))).collect()] == ["", None]
+    for bad in (-1, small_model.vocab_size):
+        with pytest.raises(Exception, match="(?i)index|bound"):
+            spark.createDataFrame([([bad],)], "ids array<int>").select(small_model.decode(F.col("ids"))).collect()
+
+
+def test_word_memory_is_small(monkeypatch):
+    monkeypatch.setattr(subword_model, "WORD_CACHE_SIZE", 3)
+    ids = subword_model.WordIds(lambda word: list(map(ord, word)))
+    long = "x" * (subword_model.WORD_CACHE_LENGTH + 1)
+    for word in ("a", "bc", long, "d", "bc", "e", "a"):
+        assert ids[word] == b"".join(ord(ch).to_bytes(4, "little") for ch in word)
+        assert len(ids) <= 3 and long not in ids
+    # a full memory of the longest words, as objects of this process
+    assert 200_000 * (sys.getsizeof("é" * 64) + sys.getsizeof(b"x" * 4 * 64) + 110) < 120e6
+
+
 def test_long_words_segment_quickly_and_leftmost_first():
     ranks = {("a", "a"): 0, ("aa", "aa"): 1, ("b", "a"): 2}
     assert segment_word("aaaaa", ranks) == ["aaaa", "a"]
