@@ -111,7 +111,7 @@ def test_lines_paths_and_kinds(spark):
 
 
 def test_long_strings_are_hashed_in_little_time(spark):
-    # byte by byte in an expression, these 30 MB took minutes; one string is longer than what is folded at once
+    # an expression that steps from byte to byte is too slow for these 30 MB; one string is longer than what is folded at once
     keys = ["é" * 200_000, "", None] + ["x" * length for length in range(9_900, 10_000)] * 30
     frame = spark.createDataFrame([(key,) for key in keys], "k string").repartition(4)
     started = time.monotonic()
