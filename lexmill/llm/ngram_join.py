@@ -131,10 +131,13 @@ def _screened(size: int, spare: int) -> int:
 
 
 def _shared_tokens(sets: DataFrame) -> DataFrame:
-    """``(id, token, n)`` for each hash of a set that ``n`` sets have, more than one."""
-    tokens = sets.select("id", F.explode("hashes").alias("token"))
-    many = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
-    return tokens.join(many, "token")
+    """``(id, token, n)`` for each hash of a set that ``n`` sets have, more than one.
+
+    The count and the join read one shuffle of the tokens: the count takes the ids as well, or it would ask for a second one without them.
+    """
+    tokens = sets.select("id", F.explode("hashes").alias("token")).repartition("token")
+    many = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
+    return tokens.join(many.filter("first < last").select("token", "n"), "token")
 
 
 def _numbered(sets: DataFrame) -> DataFrame:

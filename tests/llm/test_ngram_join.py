@@ -125,6 +125,15 @@ def test_crowd_of_near_copies_is_not_paired(spark):
     assert ngram_join._links_across(sets, groups).count() == 0
 
 
+def test_shared_tokens_move_once(spark):
+    """The count of the tokens and the join with it read the same shuffle."""
+    sets = spark.createDataFrame([(1, [5, 6, 7]), (2, [6, 7, 8]), (3, [7]), (4, [9]), (5, [])], "id long, hashes array<long>")
+    frame = ngram_join._shared_tokens(sets.repartition(2)).select("id", "token", "n")
+    assert sorted(map(tuple, frame.collect())) == [(1, 6, 2), (1, 7, 3), (2, 6, 2), (2, 7, 3), (3, 7, 3)]
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert [("ReusedExchange" in line) for line in plan.splitlines() if "Exchange hashpartitioning(token" in line] == [False, True]
+
+
 def test_odd_rows(spark):
     long = " ".join(f"x{n}" for n in range(60_000))
     texts = ["", None, " \n", "one", "ONE", "one two", "a b c d e", "a b c d e", "a b c d e f", long, long + " more", long]
