@@ -4,6 +4,7 @@ A text is its lower-case words between white space. The vocabulary is the most f
 one of a fixed number of hash buckets, and has its share of the bucket by its count in the corpus. The network predicts a masked token from the two tokens on each side: the
 embeddings of the four places are summed and squashed, then a softmax over groups of tokens and one over the tokens of the group
 give the token's probability. A text's score is the sum of the log-probabilities of its tokens, each predicted from both sides.
+The token ids are written once, two bytes each, and all rounds read them.
 
 Each round masks a part of the positions of every text, by a hash of text and position; the rounds together cover every position once. Tasks train on their own rows from a common model,
 and their changes are averaged row by row, weighted by how often a task met the row, in a grouped sum. What comes back to the driver is
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 
-from lexmill.llm.common import checkpointed, keyed_texts, map_slices
+from lexmill.llm.common import SLICE_ROWS, checkpointed, keyed_texts, map_slices
 from lexmill.llm.peeling import mix64
 
 #: Tokens: frequent words, then hash buckets; the softmax has GROUPS groups of GROUP_SIZE tokens.
@@ -112,16 +113,14 @@ class WindowModel:
         return self.table[_OUT:_GROUP].reshape(GROUPS, GROUP_SIZE, HIDDEN + 1)
 
 
-def _windows(sequences: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(sequences: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(padded ids of all texts, positions of the tokens, text of each token)."""
-    gap = [PAD] * len(PLACES)
-    padded, lengths = list(gap), []
-    for sequence in sequences:
-        padded += sequence
-        padded += gap
-        lengths.append(len(sequence))
-    flat = np.array(padded, np.int32)
-    return flat, np.flatnonzero(flat != PAD), np.repeat(np.arange(len(lengths)), lengths)
+    owner = np.repeat(np.arange(len(sequences)), list(map(len, sequences)))
+    gap = len(PLACES)
+    flat = np.full(len(owner) + gap * (len(sequences) + 1), PAD, np.int32)
+    positions = np.arange(len(owner)) + gap * (owner + 1)
+    flat[positions] = np.concatenate([np.empty(0, np.int32), *(np.asarray(one, np.int32) for one in sequences)])
+    return flat, positions, owner
 
 
 def _rows_of(flat: np.ndarray, positions: np.ndarray) -> np.ndarray:
@@ -137,17 +136,52 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def _hidden(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    total = table[rows[0], :HIDDEN] + table[_BIAS, :HIDDEN]
+    total = table.take(rows[0], 0)[:, :HIDDEN] + table[_BIAS, :HIDDEN]
     for place in rows[1:]:
-        total += table[place, :HIDDEN]
+        total += table.take(place, 0)[:, :HIDDEN]
     return np.tanh(total, out=total)
 
 
-def _by_group(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(groups, kind="stable")
-    for part in np.split(order, np.flatnonzero(np.diff(groups[order])) + 1):
-        if len(part):
-            yield int(groups[part[0]]), part
+def _by_group(groups: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """(an order by group, the groups that occur with their part of the order)."""
+    counts = np.bincount(groups, minlength=GROUPS)
+    stops = np.cumsum(counts)
+    parts = [(int(group), slice(int(stops[group] - counts[group]), int(stops[group]))) for group in np.flatnonzero(counts)]
+    return np.argsort(groups.astype(np.uint16), kind="stable"), parts
+
+
+def _within_groups(inputs: np.ndarray, outputs: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
+    """The products of ``inputs``, which stand group by group, with the outputs of the tokens of their group."""
+    logits = np.empty((len(inputs), GROUP_SIZE), np.float32)
+    for group, part in parts:
+        np.matmul(inputs[part], outputs[group].T, out=logits[part])
+    return logits
+
+
+def _padded(hidden: np.ndarray) -> np.ndarray:
+    return np.concatenate([hidden, np.ones((len(hidden), 1), np.float32)], 1)
+
+
+def _sums(rows: np.ndarray, order: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sums of runs of ``counts`` rows in ``order``. Most runs are short; `numpy.add.reduceat` takes a call for each run and column."""
+    starts = np.cumsum(counts) - counts
+    sums = np.empty((len(counts), rows.shape[1]), rows.dtype)
+    for length in range(1, 9):
+        short = np.flatnonzero(counts == length)
+        if len(short):
+            first = starts[short]
+            found = rows.take(order[first], 0)
+            if length > 1:
+                rest = rows.take(order[first + 1], 0)
+                for number in range(2, length):
+                    rest += rows.take(order[first + number], 0)
+                found += rest
+            sums[short] = found
+    long = counts > 8
+    if long.any():
+        lengths = counts[long]
+        sums[long] = np.add.reduceat(rows.take(order[np.repeat(long, counts)], 0), np.cumsum(lengths) - lengths)
+    return sums
 
 
 def log_probabilities(model: WindowModel, flat: np.ndarray, positions: np.ndarray) -> np.ndarray:
@@ -161,10 +195,12 @@ def log_probabilities(model: WindowModel, flat: np.ndarray, positions: np.ndarra
         groups, members = np.divmod(targets, GROUP_SIZE)
         chances = _softmax(hidden @ group_rows[:, :HIDDEN].T + group_rows[:, HIDDEN])
         logs = np.log(chances[np.arange(len(at)), groups] + 1e-30, dtype=np.float64)
-        for group, part in _by_group(groups):
-            outputs = model.outputs[group]
-            within = _softmax(hidden[part] @ outputs[:, :HIDDEN].T + outputs[:, HIDDEN])
-            logs[part] += np.log(within[np.arange(len(part)), members[part]] + 1e-30, dtype=np.float64)
+        order, parts = _by_group(groups)
+        within = _within_groups(hidden.take(order, 0), model.outputs[:, :, :HIDDEN], parts)
+        for group, part in parts:
+            within[part] += model.outputs[group, :, HIDDEN]
+        within = _softmax(within)
+        logs[order] += np.log(within[np.arange(len(at)), members[order]] + 1e-30, dtype=np.float64)
         found[start : start + BLOCK] = logs
     return found
 
@@ -178,39 +214,48 @@ class Trainer:
         self.squares = np.full(ROWS, 1e-6, np.float32)
         self.met = np.zeros(ROWS, np.float32)
 
-    def _move(self, rows: np.ndarray, gradients: np.ndarray, times: np.ndarray | float) -> None:
+    def _move(self, rows: np.ndarray, gradients: np.ndarray, times: np.ndarray) -> None:
         """A step for distinct ``rows``, as long as the row's gradients so far allow."""
-        self.squares[rows] += (gradients * gradients).mean(1)
-        self.model.table[rows] -= STEP * gradients / np.sqrt(self.squares[rows])[:, None]
+        squares = self.squares[rows] + (gradients * gradients).mean(1)
+        self.squares[rows] = squares
+        gradients *= STEP
+        gradients /= np.sqrt(squares)[:, None]
+        self.model.table[rows] = self.model.table.take(rows, 0) - gradients
         self.met[rows] += times
 
     def step(self, flat: np.ndarray, positions: np.ndarray) -> None:
         table, targets, rows = self.model.table, flat[positions], _rows_of(flat, positions)
         hidden = _hidden(table, rows)
-        padded = np.concatenate([hidden, np.ones((len(hidden), 1), np.float32)], 1)
+        padded = _padded(hidden)
         groups, members = np.divmod(targets, GROUP_SIZE)
         group_rows = table[_GROUP:_BIAS]
         error = _softmax(padded @ group_rows.T)
         error[np.arange(len(targets)), groups] -= 1
         back = error @ group_rows[:, :HIDDEN]
         moves = [(np.arange(_GROUP, _BIAS), error.T @ padded, np.bincount(groups, minlength=GROUPS))]
-        for group, part in _by_group(groups):
-            outputs = self.model.outputs[group]
-            miss = _softmax(padded[part] @ outputs.T)
-            miss[np.arange(len(part)), members[part]] -= 1
-            back[part] += miss @ outputs[:, :HIDDEN]
-            first = _OUT + group * GROUP_SIZE
-            counts = np.bincount(members[part], minlength=GROUP_SIZE)
-            moves.append((np.arange(first, first + GROUP_SIZE), miss.T @ padded[part], counts))
+        order, parts = _by_group(groups)
+        inputs, outputs = padded.take(order, 0), self.model.outputs
+        miss = _softmax(_within_groups(inputs, outputs, parts))
+        miss[np.arange(len(targets)), members[order]] -= 1
+        inner, gradients = np.empty((len(targets), HIDDEN), np.float32), np.empty((len(parts), GROUP_SIZE, HIDDEN + 1), np.float32)
+        for number, (group, part) in enumerate(parts):
+            np.matmul(miss[part], outputs[group][:, :HIDDEN], out=inner[part])
+            np.matmul(miss[part].T, inputs[part], out=gradients[number])
+        place_of = np.empty_like(order)
+        place_of[order] = np.arange(len(order))
+        back += inner.take(place_of, 0)
+        met = np.array([group for group, _ in parts])
+        tokens = (met[:, None] * GROUP_SIZE + np.arange(GROUP_SIZE)).ravel()
+        moves.append((_OUT + tokens, gradients.reshape(-1, HIDDEN + 1), np.bincount(targets, minlength=TOKENS)[tokens]))
         back *= 1 - hidden * hidden
         back = np.concatenate([back, np.zeros((len(back), 1), np.float32)], 1)
-        moves.append((np.array([_BIAS]), back.sum(0, keepdims=True), 1.0))
-        for place in rows:
-            order = np.argsort(place, kind="stable")
-            distinct, starts, counts = np.unique(place[order], return_index=True, return_counts=True)
-            moves.append((distinct, np.add.reduceat(back[order], starts), counts))
-        for move in moves:
-            self._move(*move)
+        moves.append((np.array([_BIAS]), back.sum(0, keepdims=True), np.ones(1)))
+        places = rows.ravel()
+        order = np.argsort(places.astype(np.uint16), kind="stable")
+        counts = np.bincount(places, minlength=_OUT)
+        distinct = np.flatnonzero(counts)
+        moves.append((distinct, _sums(back, order % len(targets), counts[distinct]), counts[distinct]))
+        self._move(*map(np.concatenate, zip(*moves)))
 
     def changes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, weight, weighted change) of the rows that were met."""
@@ -223,26 +268,46 @@ _CHANGE = [f"c{number}" for number in range(HIDDEN + 1)]
 
 def in_round(text: str, n_tokens: int, number: int, rounds: int) -> np.ndarray:
     """Whether round ``number`` masks each position of the text; every position is in one of the rounds."""
-    mixed = mix64(np.arange(n_tokens, dtype=np.uint64), zlib.crc32(text.encode()))
+    return _masked(zlib.crc32(text.encode()), n_tokens, number, rounds)
+
+
+def _masked(text_hash: int, n_tokens: int, number: int, rounds: int) -> np.ndarray:
+    mixed = mix64(np.arange(n_tokens, dtype=np.uint64), text_hash)
     return mixed % np.uint64(rounds) == np.uint64(number)
 
 
-def _round(texts: DataFrame, model: WindowModel, number: int, rounds: int) -> WindowModel:
-    """One round over all texts; returns the averaged model."""
+def token_ids(texts: DataFrame, model: WindowModel) -> DataFrame:
+    """``(hash, ids)`` of each text, its token ids as bytes, two for each; all rounds read them."""
+    schema = pa.schema([("hash", pa.int64()), ("ids", pa.binary())])
+    known = {word: number for number, word in enumerate(model.words)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = Ids(known)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.column(0).slice(start, SLICE_ROWS).to_pylist()
+                made = [np.array([ids[word] for word in words_of(text)], np.uint16).tobytes() for text in part]
+                hashes = [zlib.crc32(text.encode()) for text in part]
+                yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(made, pa.binary())], schema=schema)
+
+    return texts.select("text").mapInArrow(run, from_arrow_schema(schema))
+
+
+def _round(tokens: DataFrame, model: WindowModel, number: int, rounds: int) -> WindowModel:
+    """One round over all texts, given as `token_ids`; returns the averaged model."""
     schema = pa.schema([("row", pa.int32()), ("weight", pa.float32()), *[(name, pa.float32()) for name in _CHANGE]])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, ids = Trainer(model), model.ids()
+        trainer = Trainer(model)
         draw = np.random.default_rng([number, TaskContext.get().partitionId()])
-        waiting: list[list[int]] = []
+        waiting: list[np.ndarray] = []
         parts: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            for text in batch.column(0):
-                text = text.as_py()
-                sequence = [ids[word] for word in words_of(text)]
+            for text_hash, raw in zip(batch.column(0), batch.column(1)):
+                sequence = np.frombuffer(raw.as_py(), np.uint16)
                 waiting.append(sequence)
-                parts.append(in_round(text, len(sequence), number, rounds))
+                parts.append(_masked(text_hash.as_py(), len(sequence), number, rounds))
                 size += len(sequence)
                 if size >= BATCH * rounds:
                     _learn(trainer, waiting, parts, draw)
@@ -253,7 +318,7 @@ def _round(texts: DataFrame, model: WindowModel, number: int, rounds: int) -> Wi
         columns = [rows.astype(np.int32), weights, *np.ascontiguousarray(changes.T)]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    changed = texts.select("text").mapInArrow(train, from_arrow_schema(schema))
+    changed = tokens.select("hash", "ids").mapInArrow(train, from_arrow_schema(schema))
     summed = changed.groupBy("row").agg(F.sum("weight").alias("weight"), *[F.sum(c).alias(c) for c in _CHANGE]).toPandas()
     table = model.table.copy()
     rows = summed["row"].to_numpy(np.int64)
@@ -261,7 +326,7 @@ def _round(texts: DataFrame, model: WindowModel, number: int, rounds: int) -> Wi
     return WindowModel(model.words, table, model.bucket_counts, model.rare)
 
 
-def _learn(trainer: Trainer, sequences: list[list[int]], parts: list[np.ndarray], draw: np.random.Generator) -> None:
+def _learn(trainer: Trainer, sequences: list, parts: list[np.ndarray], draw: np.random.Generator) -> None:
     flat, positions, _ = _windows(sequences)
     masked = positions[np.concatenate(parts)]
     draw.shuffle(masked)
@@ -288,8 +353,10 @@ def fit(df: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> WindowMo
     table[_GROUP:_BIAS, HIDDEN] = np.log(by_group.sum(1) / share.sum())
     table[_OUT:_GROUP, HIDDEN] = np.log(by_group / by_group.sum(1, keepdims=True)).ravel()
     model = WindowModel(frequent, table, share[WORDS:] - 1, rare.filter("n > 1"))
-    for number in range(rounds if top else 0):
-        model = _round(texts, model, number, rounds)
+    if rounds and top:
+        tokens = checkpointed(token_ids(texts, model))
+        for number in range(rounds):
+            model = _round(tokens, model, number, rounds)
     return model
 
 

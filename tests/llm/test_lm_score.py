@@ -113,3 +113,65 @@ def test_the_rounds_cover_every_position_once(spark, monkeypatch, corpus, rounds
         parts = [lm.in_round(t, len(s), number, rounds) for t, s in zip(corpus, sequences)]
         lm._learn(trainer, sequences, parts, np.random.default_rng(number))
     assert sum(met) == sum(len(lm.words_of(t)) for t in corpus)
+
+
+def test_a_round_reads_the_stored_ids(spark, corpus):
+    """Ids are made once; a round over them, without the texts, trains as one over the words does."""
+    frame = spark.createDataFrame([(t,) for t in [*corpus, "", "İ unknown"]], "text string").coalesce(1)
+    model = lm.fit(frame, rounds=0)
+    tokens = lm.token_ids(frame, model)
+    ids, rows = model.ids(), tokens.collect()
+    assert [np.frombuffer(row.ids, np.uint16).tolist() for row in rows] == [
+        [ids[word] for word in lm.words_of(row.text)] for row in frame.collect()
+    ]
+    trainer, texts = lm.Trainer(model), [row.text for row in frame.collect()]
+    sequences = [[ids[word] for word in lm.words_of(text)] for text in texts]
+    parts = [lm.in_round(text, len(one), 0, 2) for text, one in zip(texts, sequences)]
+    draw, start, size = np.random.default_rng([0, 0]), 0, 0
+    for n, one in enumerate(sequences):
+        size += len(one)
+        if size >= lm.BATCH * 2 or n + 1 == len(sequences):
+            lm._learn(trainer, sequences[start : n + 1], parts[start : n + 1], draw)
+            start, size = n + 1, 0
+    got = lm._round(tokens.select("hash", "ids"), model, 0, 2)
+    # a step divides by the size of the gradients, so where they cancel out, rounding decides
+    assert np.isclose(got.table, trainer.model.table, rtol=1e-3, atol=1e-4).mean() > 0.98
+    assert np.abs(got.table - model.table).max() > 0.1
+
+
+def test_a_step_equals_plain_gradients(spark, corpus):
+    model = lm.fit(spark.createDataFrame([(t,) for t in corpus], "text string"), rounds=0)
+    ids, rows, trainer = model.ids(), lm.ROWS, lm.Trainer(model)
+    flat, positions, _ = lm._windows([[ids[w] for w in lm.words_of(t)] for t in [*corpus[:4], "noun1 unknown", ""]])
+    gradients, met = np.zeros((rows, lm.HIDDEN + 1)), np.zeros(rows)
+    table = model.table.astype(float)
+    for at in positions:
+        places = [flat[at + offset] + number * (lm.TOKENS + 1) for number, offset in enumerate(lm.PLACES)]
+        hidden = np.tanh(table[[*places, lm._BIAS], : lm.HIDDEN].sum(0))
+        group, back = flat[at] // lm.GROUP_SIZE, np.zeros(lm.HIDDEN)
+        first = lm._OUT + group * lm.GROUP_SIZE
+        for wanted, part in ((lm._GROUP + group, slice(lm._GROUP, lm._BIAS)), (lm._OUT + flat[at], slice(first, first + lm.GROUP_SIZE))):
+            logits = table[part] @ np.append(hidden, 1)
+            miss = np.exp(logits) / np.exp(logits).sum()
+            miss[wanted - part.start] -= 1
+            gradients[part] += np.outer(miss, np.append(hidden, 1))
+            back += miss @ table[part, : lm.HIDDEN]
+            met[wanted] += 1
+        np.add.at(gradients[:, : lm.HIDDEN], [*places, lm._BIAS], back * (1 - hidden**2))
+        np.add.at(met, places, 1)
+    met[lm._BIAS] = 1
+    trainer.step(flat, positions)
+    moved = lm.STEP * gradients / np.sqrt(1e-6 + (gradients**2).mean(1))[:, None]
+    np.testing.assert_array_equal(trainer.met, met)
+    large = np.sqrt((gradients**2).mean(1)) > 1e-4
+    np.testing.assert_allclose((table - trainer.model.table)[large], moved[large], rtol=5e-3, atol=5e-4)
+
+
+@pytest.mark.parametrize("longest", [1, 8, 9, 300])
+def test_sums_of_runs(longest):
+    draw = np.random.default_rng(longest)
+    rows = draw.normal(size=(400, 5))
+    counts = draw.integers(1, longest + 1, 60)
+    order = draw.integers(0, len(rows), counts.sum())
+    wanted = [rows[part].sum(0) for part in np.split(order, np.cumsum(counts)[:-1])]
+    np.testing.assert_allclose(lm._sums(rows, order, counts), wanted)
