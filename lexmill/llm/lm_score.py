@@ -22,6 +22,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 
-from lexmill.llm.common import SLICE_ROWS, checkpointed, keyed_texts, map_slices
+from lexmill.llm.common import SLICE_ROWS, checkpointed, keyed_texts
 from lexmill.llm.peeling import mix64
 
 #: Tokens: frequent words, then hash buckets; the softmax has GROUPS groups of GROUP_SIZE tokens.
@@ -47,8 +48,8 @@ ROUNDS = 2
 STEP, BATCH = 0.08, 4096
 #: Positions that are scored at once; distinct words that a task counts before it sends them on.
 BLOCK, COUNTED_WORDS = 1 << 15, 400_000
-#: Words whose ids a task keeps at hand.
-REMEMBERED_WORDS = 300_000
+#: Logits up to this size need no shift before the exponential: 64 such terms add up within a 32-bit float.
+SAFE_LOGIT = 80
 #: Model rows: an embedding for each place and token, an output for each token and group, and the hidden bias.
 _OUT = len(PLACES) * (TOKENS + 1)
 _GROUP = _OUT + TOKENS
@@ -57,13 +58,15 @@ ROWS = _BIAS + 1
 
 
 class Ids(dict):
-    """Token ids of words; a word outside the vocabulary has its bucket's, and is remembered while there is room."""
+    """Token ids of words; a word outside the vocabulary has its bucket's."""
 
     def __missing__(self, word: str) -> int:
-        number = WORDS + zlib.crc32(word.encode()) % BUCKETS
-        if len(self) < REMEMBERED_WORDS:
-            self[word] = number
-        return number
+        return WORDS + zlib.crc32(word.encode()) % BUCKETS
+
+
+def _looked_up(ids: Ids, words: list[str]) -> list[int]:
+    """The ids of words; most words outside the vocabulary are rare, so the hash is worked out in place."""
+    return [ids[word] if word in ids else WORDS + zlib.crc32(word.encode()) % BUCKETS for word in words]
 
 
 def words_of(text: str) -> list[str]:
@@ -128,18 +131,34 @@ def _rows_of(flat: np.ndarray, positions: np.ndarray) -> np.ndarray:
     return np.stack([flat[positions + place] + number * (TOKENS + 1) for number, place in enumerate(PLACES)])
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
+def _largest_logit(table: np.ndarray) -> float:
+    """A bound on all logits of ``table``: the hidden layer is between -1 and 1."""
+    return float((np.abs(table[_OUT:_BIAS]) @ np.ones(HIDDEN + 1, np.float32)).max())
+
+
+def _odds(logits: np.ndarray, largest: float) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials of the logits, up to a factor for each row; their sums)."""
+    if not largest < SAFE_LOGIT:
+        logits -= logits.max(1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
-    return logits
+    return logits, logits @ np.ones(logits.shape[1], np.float32)
+
+
+def _softmax(logits: np.ndarray, largest: float) -> np.ndarray:
+    odds, sums = _odds(logits, largest)
+    odds *= (1 / sums)[:, None]
+    return odds
 
 
 def _hidden(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    total = table.take(rows[0], 0)[:, :HIDDEN] + table[_BIAS, :HIDDEN]
+    """The hidden layer, and a column of ones for the biases of the outputs."""
+    total = table.take(rows[0], 0)
     for place in rows[1:]:
-        total += table.take(place, 0)[:, :HIDDEN]
-    return np.tanh(total, out=total)
+        total += table.take(place, 0)
+    total += table[_BIAS]
+    np.tanh(total, out=total)
+    total[:, HIDDEN] = 1
+    return total
 
 
 def _by_group(groups: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
@@ -158,10 +177,6 @@ def _within_groups(inputs: np.ndarray, outputs: np.ndarray, parts: list[tuple[in
     return logits
 
 
-def _padded(hidden: np.ndarray) -> np.ndarray:
-    return np.concatenate([hidden, np.ones((len(hidden), 1), np.float32)], 1)
-
-
 def _sums(rows: np.ndarray, order: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The sums of runs of ``counts`` rows in ``order``. Most runs are short; `numpy.add.reduceat` takes a call for each run and column."""
     starts = np.cumsum(counts) - counts
@@ -187,20 +202,17 @@ def _sums(rows: np.ndarray, order: np.ndarray, counts: np.ndarray) -> np.ndarray
 def log_probabilities(model: WindowModel, flat: np.ndarray, positions: np.ndarray) -> np.ndarray:
     """The log-probability of the token at each position, given both sides."""
     found = np.zeros(len(positions))
-    group_rows = model.table[_GROUP:_BIAS]
+    group_rows, largest = model.table[_GROUP:_BIAS], _largest_logit(model.table)
     for start in range(0, len(positions), BLOCK):
         at = positions[start : start + BLOCK]
         targets = flat[at]
-        hidden = _hidden(model.table, _rows_of(flat, at))
+        padded = _hidden(model.table, _rows_of(flat, at))
         groups, members = np.divmod(targets, GROUP_SIZE)
-        chances = _softmax(hidden @ group_rows[:, :HIDDEN].T + group_rows[:, HIDDEN])
-        logs = np.log(chances[np.arange(len(at)), groups] + 1e-30, dtype=np.float64)
+        odds, sums = _odds(padded @ group_rows.T, largest)
+        logs = np.log(odds[np.arange(len(at)), groups] / sums + 1e-30, dtype=np.float64)
         order, parts = _by_group(groups)
-        within = _within_groups(hidden.take(order, 0), model.outputs[:, :, :HIDDEN], parts)
-        for group, part in parts:
-            within[part] += model.outputs[group, :, HIDDEN]
-        within = _softmax(within)
-        logs[order] += np.log(within[np.arange(len(at)), members[order]] + 1e-30, dtype=np.float64)
+        odds, sums = _odds(_within_groups(padded.take(order, 0), model.outputs, parts), largest)
+        logs[order] += np.log(odds[np.arange(len(at)), members[order]] / sums + 1e-30, dtype=np.float64)
         found[start : start + BLOCK] = logs
     return found
 
@@ -216,30 +228,28 @@ class Trainer:
 
     def _move(self, rows: np.ndarray, gradients: np.ndarray, times: np.ndarray) -> None:
         """A step for distinct ``rows``, as long as the row's gradients so far allow."""
-        squares = self.squares[rows] + (gradients * gradients).mean(1)
+        squares = self.squares[rows] + np.einsum("ij,ij->i", gradients, gradients) / np.float32(HIDDEN + 1)
         self.squares[rows] = squares
-        gradients *= STEP
-        gradients /= np.sqrt(squares)[:, None]
+        gradients *= (STEP / np.sqrt(squares))[:, None]
         self.model.table[rows] = self.model.table.take(rows, 0) - gradients
         self.met[rows] += times
 
     def step(self, flat: np.ndarray, positions: np.ndarray) -> None:
         table, targets, rows = self.model.table, flat[positions], _rows_of(flat, positions)
-        hidden = _hidden(table, rows)
-        padded = _padded(hidden)
+        padded = _hidden(table, rows)
         groups, members = np.divmod(targets, GROUP_SIZE)
-        group_rows = table[_GROUP:_BIAS]
-        error = _softmax(padded @ group_rows.T)
+        group_rows, largest = table[_GROUP:_BIAS], _largest_logit(table)
+        error = _softmax(padded @ group_rows.T, largest)
         error[np.arange(len(targets)), groups] -= 1
-        back = error @ group_rows[:, :HIDDEN]
+        back = error @ group_rows
         moves = [(np.arange(_GROUP, _BIAS), error.T @ padded, np.bincount(groups, minlength=GROUPS))]
         order, parts = _by_group(groups)
         inputs, outputs = padded.take(order, 0), self.model.outputs
-        miss = _softmax(_within_groups(inputs, outputs, parts))
+        miss = _softmax(_within_groups(inputs, outputs, parts), largest)
         miss[np.arange(len(targets)), members[order]] -= 1
-        inner, gradients = np.empty((len(targets), HIDDEN), np.float32), np.empty((len(parts), GROUP_SIZE, HIDDEN + 1), np.float32)
+        inner, gradients = np.empty_like(padded), np.empty((len(parts), GROUP_SIZE, HIDDEN + 1), np.float32)
         for number, (group, part) in enumerate(parts):
-            np.matmul(miss[part], outputs[group][:, :HIDDEN], out=inner[part])
+            np.matmul(miss[part], outputs[group], out=inner[part])
             np.matmul(miss[part].T, inputs[part], out=gradients[number])
         place_of = np.empty_like(order)
         place_of[order] = np.arange(len(order))
@@ -247,8 +257,7 @@ class Trainer:
         met = np.array([group for group, _ in parts])
         tokens = (met[:, None] * GROUP_SIZE + np.arange(GROUP_SIZE)).ravel()
         moves.append((_OUT + tokens, gradients.reshape(-1, HIDDEN + 1), np.bincount(targets, minlength=TOKENS)[tokens]))
-        back *= 1 - hidden * hidden
-        back = np.concatenate([back, np.zeros((len(back), 1), np.float32)], 1)
+        back *= 1 - padded * padded  # no change for the column of ones
         moves.append((np.array([_BIAS]), back.sum(0, keepdims=True), np.ones(1)))
         places = rows.ravel()
         order = np.argsort(places.astype(np.uint16), kind="stable")
@@ -268,12 +277,14 @@ _CHANGE = [f"c{number}" for number in range(HIDDEN + 1)]
 
 def in_round(text: str, n_tokens: int, number: int, rounds: int) -> np.ndarray:
     """Whether round ``number`` masks each position of the text; every position is in one of the rounds."""
-    return _masked(zlib.crc32(text.encode()), n_tokens, number, rounds)
+    return _masked([zlib.crc32(text.encode())], [n_tokens], number, rounds)
 
 
-def _masked(text_hash: int, n_tokens: int, number: int, rounds: int) -> np.ndarray:
-    mixed = mix64(np.arange(n_tokens, dtype=np.uint64), text_hash)
-    return mixed % np.uint64(rounds) == np.uint64(number)
+def _masked(text_hashes: list[int], lengths: list[int], number: int, rounds: int) -> np.ndarray:
+    """The masks of texts, one after the other."""
+    places = np.arange(sum(lengths), dtype=np.uint64) - np.repeat(np.cumsum([0, *lengths[:-1]], dtype=np.uint64), lengths)
+    seeds = np.array(text_hashes, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return mix64(places ^ np.repeat(seeds, lengths), 0) % np.uint64(rounds) == np.uint64(number)
 
 
 def token_ids(texts: DataFrame, model: WindowModel) -> DataFrame:
@@ -286,7 +297,7 @@ def token_ids(texts: DataFrame, model: WindowModel) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.column(0).slice(start, SLICE_ROWS).to_pylist()
-                made = [np.array([ids[word] for word in words_of(text)], np.uint16).tobytes() for text in part]
+                made = [np.array(_looked_up(ids, words_of(text)), np.uint16).tobytes() for text in part]
                 hashes = [zlib.crc32(text.encode()) for text in part]
                 yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(made, pa.binary())], schema=schema)
 
@@ -301,19 +312,22 @@ def _round(tokens: DataFrame, model: WindowModel, number: int, rounds: int) -> W
         trainer = Trainer(model)
         draw = np.random.default_rng([number, TaskContext.get().partitionId()])
         waiting: list[np.ndarray] = []
-        parts: list[np.ndarray] = []
+        hashes: list[int] = []
         size = 0
+
+        def learn() -> None:
+            _learn(trainer, waiting, [_masked(hashes, list(map(len, waiting)), number, rounds)], draw)
+
         for batch in batches:
             for text_hash, raw in zip(batch.column(0), batch.column(1)):
-                sequence = np.frombuffer(raw.as_py(), np.uint16)
-                waiting.append(sequence)
-                parts.append(_masked(text_hash.as_py(), len(sequence), number, rounds))
-                size += len(sequence)
+                waiting.append(np.frombuffer(raw.as_py(), np.uint16))
+                hashes.append(text_hash.as_py())
+                size += len(waiting[-1])
                 if size >= BATCH * rounds:
-                    _learn(trainer, waiting, parts, draw)
-                    waiting, parts, size = [], [], 0
+                    learn()
+                    waiting, hashes, size = [], [], 0
         if waiting:
-            _learn(trainer, waiting, parts, draw)
+            learn()
         rows, weights, changes = trainer.changes()
         columns = [rows.astype(np.int32), weights, *np.ascontiguousarray(changes.T)]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -374,22 +388,35 @@ def score(df: DataFrame, model: WindowModel, id_col: str = "doc_id", text_col: s
         ]
     )
     ids, shares = model.ids(), -np.log1p(model.bucket_counts)
-    frequent = set(model.words)
-
-    def work(rows: list[int], doc_ids: list, texts: list[str]) -> list[list]:
+    def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """A row for each text, with a word that no text can have, and one for each of its words outside the vocabulary."""
+        rows, texts = part.column(0).to_numpy(), part.column(2).to_pylist()
         words = [words_of(text) for text in texts]
-        flat, positions, owner = _windows([[ids[word] for word in part] for part in words])
+        flat, positions, owner = _windows([_looked_up(ids, part) for part in words])
         logs, tokens = log_probabilities(model, flat, positions), flat[positions]
         logs += np.where(tokens >= WORDS, shares[np.maximum(tokens - WORDS, 0)], 0.0)
-        sums = np.bincount(owner, logs, minlength=len(texts)).tolist()
-        found = list(zip(rows, doc_ids, map(len, words), sums, (f" {row}" for row in rows), [0] * len(rows)))
-        for row, part in zip(rows, words):
-            rare = Counter(word for word in part if word not in frequent)
-            found += [(row, None, None, None, word, times) for word, times in rare.items()]
-        return [list(column) for column in zip(*found)]
-
-    met = map_slices(texts, work, schema).join(model.rare, "word", "left")
+        own = [
+            part.column(0),
+            part.column(1).cast(schema.field("doc_id").type),
+            pa.array(list(map(len, words)), pa.int64()),
+            pa.array(np.bincount(owner, logs, minlength=len(texts))),
+            pa.array([f" {row}" for row in rows.tolist()], pa.string()),
+            pa.array(np.zeros(len(texts), np.int64)),
+        ]
+        yield pa.RecordBatch.from_arrays(own, schema=schema)
+        rare = [Counter([word for word in part if word not in ids]) for part in words]
+        counts = list(map(len, rare))
+        nulls = [pa.nulls(sum(counts), schema.field(name).type) for name in ("doc_id", "n_tokens", "log_prob")]
+        found = pa.array(list(chain.from_iterable(rare)), pa.string())
+        times = pa.array(list(chain.from_iterable(map(Counter.values, rare))), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rows, counts)), *nulls, found, times], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                yield from work(batch.slice(start, SLICE_ROWS))
+
+    met = texts.mapInArrow(run, from_arrow_schema(schema)).join(model.rare, "word", "left")
     own = F.coalesce("log_prob", F.lit(0.0)) + F.coalesce(F.col("times") * F.log("n"), F.lit(0.0))
     firsts = [F.max(name).alias(name) for name in ("doc_id", "n_tokens")]
     summed = met.groupBy("row").agg(*firsts, F.sum(own).alias("log_prob"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -175,3 +176,25 @@ def test_sums_of_runs(longest):
     order = draw.integers(0, len(rows), counts.sum())
     wanted = [rows[part].sum(0) for part in np.split(order, np.cumsum(counts)[:-1])]
     np.testing.assert_allclose(lm._sums(rows, order, counts), wanted)
+
+
+def test_masks_of_many_texts_at_once(corpus):
+    texts, lengths = [*corpus[:5], "", corpus[0]], [40, 1, 7, 300, 0, 0, 40]
+    got = lm._masked([zlib.crc32(text.encode()) for text in texts], lengths, 1, 3)
+    assert got.tolist() == [mask for text, n in zip(texts, lengths) for mask in lm.in_round(text, n, 1, 3).tolist()]
+
+
+@pytest.mark.parametrize("scale", [1, 300])
+def test_large_logits_do_not_overflow(scale):
+    """Logits are shifted only where their bound asks for it."""
+    table = np.random.default_rng(4).normal(0, 0.1, (lm.ROWS, lm.HIDDEN + 1)).astype(np.float32)
+    table[: lm._OUT, lm.HIDDEN] = 0
+    table[lm._OUT : lm._BIAS] *= scale
+    model = lm.WindowModel([f"w{n}" for n in range(lm.WORDS)], table, np.zeros(lm.BUCKETS), None)
+    assert (lm._largest_logit(table) < lm.SAFE_LOGIT) == (scale == 1)
+    flat, positions, _ = lm._windows([[model.ids()[word] for word in "w1 w2 other w3000 w7 more".split()]])
+    got = lm.log_probabilities(model, flat, positions).sum()
+    assert np.isfinite(got) and (scale > 1 or got == pytest.approx(brute_log_prob(model, "w1 w2 other w3000 w7 more"), rel=1e-4))
+    trainer = lm.Trainer(model)
+    trainer.step(flat, positions)
+    assert np.isfinite(trainer.model.table).all()
