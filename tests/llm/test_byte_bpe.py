@@ -44,6 +44,26 @@ def test_memo_generations_do_not_change_ids(library, monkeypatch):
     assert np.frombuffer(coder.encode(text), "<u4").tolist() == library.encode_ordinary(text)
 
 
+def test_short_unknown_words_merge_together(library, monkeypatch):
+    """Words of one batch that are no tokens are merged at once; only long ones go through the heap."""
+    draw = random.Random(5)
+    words = ["".join(draw.choice("abcdefgéß中xyzaaa") for _ in range(draw.randrange(2, 40))) for _ in range(3000)]
+    words += ["a" * n for n in (47, 48, 49, 200)]
+    coder, alone, merge = bb.ByteCodec(bb.RANKS_PATH), [], bb.ByteCodec.merge
+    monkeypatch.setattr(bb.ByteCodec, "merge", lambda self, raw: alone.append(raw) or merge(self, raw))
+    texts = [" ".join(words[start : start + 300]) for start in range(0, len(words), 300)]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in coder.encode_all(texts)]
+    assert got == [library.encode_ordinary(text) for text in texts]
+    assert alone and all(len(raw) > bb.TOGETHER_BYTES for raw in alone)
+
+
+def test_a_vocabulary_without_all_bytes_uses_the_heap(tmp_path):
+    path = tmp_path / "few.tiktoken"
+    path.write_text("YQ== 0\nYg== 1\nYWI= 2\n")  # a, b, ab
+    coder = bb.ByteCodec(str(path))
+    assert np.frombuffer(coder.encode("abba ab".replace(" ", "")), "<u4").tolist() == [2, 1, 0, 2]
+
+
 def test_perfect_hash_is_minimal_and_rejects_strangers():
     keys = [f"key{n}".encode() for n in range(1000)]
     table = bb.PerfectHash(keys)
