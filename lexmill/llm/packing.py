@@ -20,7 +20,7 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -33,7 +33,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 
-from lexmill.llm.byte_bpe import Memo
 from lexmill.llm.common import SLICE_ROWS, checkpointed, keyed_texts
 
 VOCABULARY_PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +40,8 @@ CLOSING_ID = 0
 #: Entries of a generation of a worker's two memos, of runs without white space and of words: about 180 MB, or 80 MB.
 LARGE_MEMOS = (150_000, 300_000)
 SMALL_MEMOS = (100_000, 100_000)
+#: The longest run or word that enters a memo.
+MEMO_CHARS = 40
 
 #: Python splits at these too, the vocabulary's normaliser does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -78,6 +79,26 @@ class Capacity:
         return -(((left / limits - need) ** 2) @ weights)
 
 
+class Memo(dict):
+    """A dict that computes what it lacks, one at a time; when it is full it becomes the older of two generations."""
+
+    def __init__(self, compute: Callable[[str], bytes], entries: int, longest: int = MEMO_CHARS) -> None:
+        super().__init__()
+        self._compute, self._entries, self._longest = compute, entries, longest
+        self._older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self._older.get(piece)
+        if found is None:
+            found = self._compute(piece)
+        if len(piece) <= self._longest:
+            if len(self) >= self._entries:
+                self._older = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
+
+
 class WordVocabulary:
     """Ids of texts by the public word vocabulary. It drops white space, so texts are encoded word by word, with a memo.
 

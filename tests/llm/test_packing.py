@@ -108,3 +108,16 @@ def test_ids_equal_the_library_on_any_characters(library):
     for text in texts:
         ids = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == ids, text
+
+
+def test_memos_compute_what_they_lack_one_at_a_time(library):
+    """Words and runs that no memo has, also when both generations are full and when they are too long for a memo."""
+    coder = pk.WordVocabulary(pk.VOCABULARY_PATH, memos=(3, 3))
+    words = [f"eauouon{n} Καλη{n}" for n in range(20)] + ["x" * 100, "ξ" * 100]
+    for text in [*words, " ".join(words), *words]:
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(coder._words) <= 3 and len(coder._memo) <= 3
+    asked = []
+    memo = pk.Memo(lambda word: asked.append(word) or word.encode(), 2, longest=5)
+    assert [memo[word] for word in ["a", "a", "b", "c", "a", "longer", "longer"]] == [b"a", b"a", b"b", b"c", b"a", b"longer", b"longer"]
+    assert asked == ["a", "b", "c", "longer", "longer"]
