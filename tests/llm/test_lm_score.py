@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from lexmill.llm import lm_score as lm
 
@@ -198,3 +199,44 @@ def test_large_logits_do_not_overflow(scale):
     trainer = lm.Trainer(model)
     trainer.step(flat, positions)
     assert np.isfinite(trainer.model.table).all()
+
+
+def test_words_are_cut_as_python_cuts_them(monkeypatch):
+    draw = random.Random(9)
+    characters = " \t\n\x0b\x0c\r\x1c\x1f\x85\xa0   　​aBzÉßİΣς.,1中😀"
+    texts = ["", " ", "\x1f", "a", " a ", *("".join(draw.choice(characters) for _ in range(draw.randrange(30))) for _ in range(3000))]
+    words, counts = lm._cut(texts)
+    assert words.to_pylist() == [word for text in texts for word in lm.words_of(text)]
+    assert counts.tolist() == [len(lm.words_of(text)) for text in texts]
+    monkeypatch.setattr(lm, "CUT_BYTES", 60)
+    batch = pa.RecordBatch.from_pydict({"text": [*texts, "x" * 500, "y"]})
+    parts = list(lm._parts(batch, 0, 50))
+    assert pa.Table.from_batches(parts).column(0).to_pylist() == batch.column(0).to_pylist() and len(parts) > 60
+    assert lm._cut([])[1].tolist() == []
+
+
+@pytest.mark.parametrize("known", [0, 5000, 100_000])
+def test_scores_are_the_same_whatever_the_tasks_know(spark, monkeypatch, known):
+    """Counts that the tasks hold and counts that are joined give one score, and few words are joined when many are known."""
+    draw = random.Random(4)
+    texts = ["", " \xa0", None, "never\x85w3", *(" ".join(f"w{min(draw.randrange(7000), int(draw.paretovariate(0.1)))}" for _ in range(500)) for _ in range(60))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).cache()
+    counts = Counter(word for text in texts for word in lm.words_of(text or ""))
+    monkeypatch.setattr(lm, "KNOWN_WORDS", known)
+    model = lm.fit(frame, rounds=0)
+    assert len(model.known) <= known and all(counts[word] == n for word, n in model.known.items())
+    assert len(model.known) > lm.WORDS or not known
+    encoded = lm._encoded(lm._numbered(frame, "doc_id", "text"), model).collect()
+    held = {*model.known, *model.words}
+    assert {row.doc_id: row.rest.split() for row in encoded} == {
+        doc_id: [word for word in lm.words_of(text or "") if word not in held] for doc_id, text in enumerate(texts)
+    }
+    got = {row.doc_id: row.log_prob for row in lm.score(frame, model).collect()}
+    ids = model.ids()
+    for doc_id, text in enumerate(texts[:10]):
+        others = [word for word in lm.words_of(text or "") if word not in model.words]
+        shares = sum(np.log(counts[word] / (model.bucket_counts[ids[word] - lm.WORDS] + 1)) for word in others)
+        assert got[doc_id] == pytest.approx(brute_log_prob(model, text or "") + shares, rel=1e-4)
+    both = {row.doc_id: row.log_prob for row in lm.fit_and_score(frame).collect()}
+    apart = {row.doc_id: row.log_prob for row in lm.score(frame, lm.fit(frame)).collect()}
+    assert both == pytest.approx(apart, rel=1e-3)
