@@ -229,8 +229,11 @@ def _sums(rows: np.ndarray, order: np.ndarray, counts: np.ndarray) -> np.ndarray
         if part.start < part.stop:
             first, found = firsts[part], sums[part]
             rows.take(order[first], 0, out=found, mode="clip")
-            for number in range(1, length):
-                found += rows.take(order[first + number], 0)
+            if length > 1:
+                rest = rows.take(order[first + 1], 0)
+                for number in range(2, length):
+                    rest += rows.take(order[first + number], 0)
+                found += rest
     if stops[8] < stops[9]:
         lengths = counts[by_length[stops[8] :]]
         places = np.repeat(firsts[stops[8] :] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
@@ -300,7 +303,7 @@ class Trainer:
         np.multiply(padded, padded, out=padded)
         np.subtract(1, padded, out=padded)
         back *= padded  # no change for the column of ones
-        np.matmul(np.ones(len(back), np.float32), back, out=gradients[-1])
+        back.sum(0, out=gradients[-1])
         self._steps(self.squares[_OUT:], gradients)
         table[_OUT:] -= gradients
         self.met[_OUT:_GROUP] += np.bincount(targets, minlength=TOKENS)
